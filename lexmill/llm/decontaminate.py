@@ -36,7 +36,8 @@ def _seeds(hashes: Column, mask: str) -> Column:
 def _exploded(rows: DataFrame, masks: list[str], keep: list[str]) -> DataFrame:
     """rows(*keep, n, hashes) -> (*keep, start, span, seed); the arrays of all masks are laid end to end, so one generator serves them all."""
     every = F.concat(*[_seeds(F.col("hashes"), m) for m in masks])
-    flat = rows.select(*keep, "n", every.alias("seeds")).select(*keep, "n", F.posexplode("seeds").alias("at", "seed"))
+    # the outer generator, as an inner one makes Spark compute the arrays once more in a filter below it, quadratically
+    flat = rows.select(*keep, "n", every.alias("seeds")).select(*keep, "n", F.posexplode_outer("seeds").alias("at", "seed")).where("seed is not null")
     counts = [F.greatest(F.col("n") - F.lit(len(m) - 1), F.lit(0)) for m in masks]
     start, span, below = F.lit(None).cast("int"), F.lit(None).cast("int"), F.lit(0)
     for m, count in zip(masks, counts, strict=True):
@@ -74,7 +75,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     near = near.select("_id", "_item", "variant", "i_n", "hits", "diagonal", "i_words", words(F.col("_text")).alias("words"))
     spanned = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["i_start"], h["i_start"] + h["span"] - 1))))
     found = F.filter(spanned, lambda i: F.get(F.col("words"), i + F.col("diagonal")) == F.get(F.col("i_words"), i))
-    places = near.select("_id", "_item", "variant", "i_n", F.explode(found).alias("place")).distinct()
+    places = near.select("_id", "_item", "variant", "i_n", F.explode_outer(found).alias("place")).where("place is not null").distinct()
     held = places.groupBy("_id", "_item", "variant", "i_n").agg(F.count(F.lit(1)).alias("n_found"))
     held = held.where(F.col("n_found") >= F.lit(threshold) * F.col("i_n"))
     best = held.groupBy("_id", "_item").agg(F.max(F.struct((F.col("n_found") / F.col("i_n")).alias("similarity"), "n_found", "i_n")).alias("b"))
