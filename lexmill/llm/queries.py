@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import decontaminate, exact_dedup, pii
+from lexmill.llm import decontaminate, exact_dedup, pii, sentencepiece_bpe, simhash, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,28 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.annotate(table(spark, sf_dir, "documents"))
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public tokenizer's file; LEXMILL_TOKENIZERS names another folder."""
+    folder = os.environ.get("LEXMILL_TOKENIZERS")
+    if folder:
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_bpe.digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end=2)
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.classes(table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
@@ -26,8 +49,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_pii": op3_pii,
+    "op5_token_files": op5_token_files,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
 }
 
