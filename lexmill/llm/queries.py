@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import decontaminate, exact_dedup, pii, sentencepiece_bpe, simhash, token_files
+from lexmill.llm import decontaminate, exact_dedup, html_extract, pii, quality, sentencepiece_bpe, simhash, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,18 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end=2)
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.classes(table(spark, sf_dir, "documents"))
 
@@ -51,8 +63,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_pii": op3_pii,
+    "op4_toxicity": op4_toxicity,
     "op5_token_files": op5_token_files,
+    "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_html_extraction": op8_html_extraction,
     "op9_simhash": op9_simhash,
     "op10_decontamination": op10_decontamination,
 }

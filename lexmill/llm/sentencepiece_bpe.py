@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.shipping import ship
+
 MARK = "▁"
 _UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Entries of a worker's memory of units or pairs; it starts anew beyond that.
@@ -195,6 +197,7 @@ def encode_table(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
             ids = [c.encode(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([c.decode(x) for x in ids])], names=["id", "ids", "decoded"])
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(each, f"id {rows.schema[0].dataType.simpleString()}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
 
@@ -217,5 +220,6 @@ def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
                 text_sha.append(hashlib.sha256((said[1:] if said[:1] == " " else said).encode("utf-8", "surrogatepass")).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(each, f"id {rows.schema[0].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.functions.shipping import ship
 from lexmill.llm.store import written
 
 BITS = 4
@@ -62,6 +63,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             fps = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], names=["id", "fp"])
 
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(each, "id long, fp long")
 
@@ -182,6 +184,7 @@ def _dealt(rows: DataFrame, of: dict[int, list[tuple[int, int]]]) -> DataFrame:
 
 def links(fps: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
     """(u, v), u > v: stars whose closure is that of all links of the distinct ``fps`` (fp)."""
+    ship(fps.sparkSession)
     masks = dict(enumerate(_pair_masks()))
     rows = _dealt(fps.select("fp", F.lit(-1).alias("table")), {-1: list(masks.items())})
     ready = None

@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexmill.functions.shipping import ship
 from lexmill.llm.store import new_path
 
 #: Entries of a worker's memory of words; it starts anew beyond that.
@@ -89,6 +90,7 @@ def frequency_ranks(docs: DataFrame, path: str, end: int, text_col: str = "text"
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
+    ship(docs.sparkSession)
     counts = docs.select(F.col(text_col).alias("text")).mapInArrow(each, "id long, n long")
     return [r.id for r in counts.groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").collect()]
 
@@ -117,6 +119,7 @@ def write_files(docs: DataFrame, to: str, path: str, end: int, id_col: str = "do
 
 def read_files(spark: SparkSession, at: str, digest) -> DataFrame:
     """(id, shard, n_tokens, value) of the records under ``at``: value is digest(ids), a long, of the ids as little-endian unsigned 32-bit integers."""
+    ship(spark)
     order = [r.id for r in spark.read.parquet(f"{at}/ranks").orderBy("rank").collect()]  # the vocabulary's size at most
     ids = np.array(order, "<u4")
 
