@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexmill.llm import decontaminate, exact_dedup, html_extract, pii, quality, sentencepiece_bpe, simhash, token_files, toxicity
+from lexmill.llm import decontaminate, exact_dedup, html_extract, pii, quality, sentencepiece_bpe, simhash, suffix_dedup, token_files, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal(table(spark, sf_dir, "documents"))
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_bpe.digests(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -61,6 +65,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_pii": op3_pii,
     "op4_toxicity": op4_toxicity,
