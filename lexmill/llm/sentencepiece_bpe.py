@@ -16,6 +16,7 @@ import re
 import string
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -202,24 +203,30 @@ def encode_table(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     return rows.mapInArrow(each, f"id {rows.schema[0].dataType.simpleString()}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
 
 
-def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) of encode_table()'s rows, without building their arrays."""
+def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of encode_table()'s rows, and their ids (array<int>) if asked for."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
         known, end = _Units(c, _Units(c)), str(c.end)
         for batch in batches:
-            n, ids_sha, text_sha = [], [], []
+            n, ids_sha, text_sha, arrays = [], [], [], []
             for text in batch.column(1):
                 text = text.as_py()
                 found = [known[u] for u in c.units(text)] if text else []
                 ids = " ".join([f[0] for f in found] + [end])
                 said = "".join([f[1] for f in found])
                 n.append(ids.count(" ") + 1)
+                if with_ids:
+                    arrays.append(np.fromstring(ids, np.int32, sep=" "))
                 ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
                 text_sha.append(hashlib.sha256((said[1:] if said[:1] == " " else said).encode("utf-8", "surrogatepass")).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            columns = {"id": batch.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
+            if with_ids:
+                flat = np.concatenate(arrays) if arrays else np.zeros(0, np.int32)
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_pydict(columns)
 
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(each, f"id {rows.schema[0].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(each, f"id {rows.schema[0].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids).withColumnRenamed("id", id_col)

@@ -10,6 +10,7 @@ Decoding looks each control byte up in a table of lengths and gathers the bytes
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -20,10 +21,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions.shipping import ship
-from lexmill.llm.store import new_path
+from lexmill.llm.store import new_path, written
 
-#: Entries of a worker's memory of words; it starts anew beyond that.
-REMEMBERED = 600_000
+#: Entries of a worker's memory of words, in each of two generations.
+REMEMBERED = 400_000
 _LONG = 200
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
@@ -46,59 +47,111 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out.view("<u4").ravel()
 
 
-class _Words(dict):
-    """A word between ASCII blanks (bytes) -> its ids as bytes. The tokenizer drops blanks and merges nothing across them."""
+class _Recent(dict):
+    """A memory of two generations: when the new one is full it becomes the old one, whose entries come back when used."""
+
+    def __init__(self, make) -> None:
+        self.make, self.old = make, {}
+
+    def __missing__(self, key: bytes) -> bytes:
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= _LONG:
+            if len(self) >= REMEMBERED:
+                self.old = dict(self)
+                self.clear()
+            self[key] = found
+        return found
+
+
+#: Between a letter and a sign (but the apostrophe) of ASCII a word is cut in any case.
+_PART = re.compile(rb"(?<=[a-z])(?=[!-&(-@\[-`{-~])|(?<=[!-&(-@\[-`{-~])(?=[a-z])")
+_LETTERS = re.compile(rb"[a-z]+")
+
+
+class Words:
+    """The library's ids of texts, put together from those of words and their parts. The tokenizer drops blanks, ignores case, and merges nothing across a blank or a part's end."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.of = Tokenizer.from_file(path)
+        self.model = self.of.model
+        self.parts = _Recent(self.part)
+        self.words = _Recent(lambda w: b"".join([self.parts[p] for p in _PART.split(w)]))
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.of.encode(word.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
-        found = np.array(ids, "<u4").tobytes()
-        if len(word) <= _LONG:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[word] = found
-        return found
+    def part(self, part: bytes) -> bytes:
+        if _LETTERS.fullmatch(part):
+            return np.array([t.id for t in self.model.tokenize(part.decode())], "<u4").tobytes()
+        return self.whole(part.decode("utf-8", "surrogatepass"))
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.of.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
+    def ids(self, text: str | None, end: int) -> np.ndarray:
+        """The ids and the end id. A null text counts as an empty one."""
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        if b"<|" in raw:  # perhaps a special token, which is told by its case
+            own = [self.whole(text)]
+        else:
+            known = self.words
+            own = [known[w] for w in raw.lower().split()]  # bytes: ASCII only
+        own.append(np.array([end], "<u4").tobytes())
+        return np.frombuffer(b"".join(own), "<u4")
 
-_words: dict[str, _Words] = {}
+
+_words: dict[str, Words] = {}
 
 
 def token_ids(text: str | None, path: str, end: int) -> np.ndarray:
-    """The library's ids and the end id. A null text counts as an empty one."""
+    """The library's ids of a text, and the end id."""
     if path not in _words:
-        _words[path] = _Words(path)
-    known = _words[path]
-    own = [known[w] for w in (text or "").encode("utf-8", "surrogatepass").split()]
-    return np.frombuffer(b"".join([*own, np.array([end], "<u4").tobytes()]), "<u4")
+        _words[path] = Words(path)
+    return _words[path].ids(text, end)
+
 
+def tokenized(docs: DataFrame, path: str, end: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, ids): a table of the ids, two bytes each where they fit, else four."""
 
-def frequency_ranks(docs: DataFrame, path: str, end: int, text_col: str = "text") -> list[int]:
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [token_ids(t.as_py(), path, end) for t in batch.column(1)]
+            small = [int(x.max()) < 1 << 16 for x in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.bool_()), pa.array([x.astype("<u2" if s else "<u4").tobytes() for x, s in zip(rows, small, strict=True)], pa.binary())], names=["id", "small", "ids"])
+
+    ship(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    return written(rows.mapInArrow(each, "id long, small boolean, ids binary"), "ids")
+
+
+def _numbers(small: bool, ids: bytes) -> np.ndarray:
+    return np.frombuffer(ids, "<u2" if small else "<u4")
+
+
+def frequency_ranks(tokens: DataFrame) -> list[int]:
     """All ids that occur, the most frequent first: as many as the vocabulary has at most, whatever the corpus."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(end + 1, np.int64)
+        total = np.zeros(1, np.int64)
         for batch in batches:
-            for text in batch.column(0):
-                n = np.bincount(token_ids(text.as_py(), path, end))
+            for small, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                n = np.bincount(_numbers(small, ids.as_py()))
                 if len(n) > len(total):
                     total = np.pad(total, (0, len(n) - len(total)))
                 total[: len(n)] += n
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
-    ship(docs.sparkSession)
-    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(each, "id long, n long")
+    counts = tokens.select("small", "ids").mapInArrow(each, "id long, n long")
     return [r.id for r in counts.groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").collect()]
 
 
 def write_files(docs: DataFrame, to: str, path: str, end: int, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """The records under ``to``/records and the ranks under ``to``/ranks. Null ids come first."""
+    """The records under ``to``/records and the ranks under ``to``/ranks. Texts are tokenized once. Null ids come first."""
     spark = docs.sparkSession
-    order = frequency_ranks(docs, path, end, text_col)
+    tokens = tokenized(docs, path, end, id_col, text_col)
+    order = frequency_ranks(tokens)
     spark.createDataFrame(list(enumerate(order)), "rank long, id long").coalesce(1).write.parquet(f"{to}/ranks")
     rank = np.zeros(max(order, default=0) + 1, np.uint32)
     rank[order] = np.arange(len(order), dtype=np.uint32)
@@ -106,15 +159,15 @@ def write_files(docs: DataFrame, to: str, path: str, end: int, id_col: str = "do
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         for batch in batches:
-            rows = [rank[token_ids(t.as_py(), path, end)] for t in batch.column(1)]
+            rows = [rank[_numbers(s, i.as_py())] for s, i in zip(batch.column(1).to_pylist(), batch.column(2), strict=True)]
             coded = [encode_ranks(x) for x in rows]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([shard] * len(rows), pa.int64()), pa.array([len(x) for x in rows], pa.int64()), pa.array([c for c, _ in coded], pa.binary()), pa.array([d for _, d in coded], pa.binary())],
                 names=["id", "shard", "n_tokens", "control", "data"],
             )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows.repartitionByRange("id").sortWithinPartitions("id").mapInArrow(each, "id long, shard long, n_tokens long, control binary, data binary").write.parquet(f"{to}/records")
+    dealt = tokens.repartitionByRange("id").sortWithinPartitions("id")
+    dealt.mapInArrow(each, "id long, shard long, n_tokens long, control binary, data binary").write.parquet(f"{to}/records")
 
 
 def read_files(spark: SparkSession, at: str, digest) -> DataFrame:

@@ -161,9 +161,9 @@ def report(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return out.select(id_col, F.coalesce(labelled.remainder(F.col(id_col), BY) == HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= REJECT).cast("int").alias("predicted"))
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that are predicted toxic, decided row by row in one pass; all columns stay."""
-    scorer = train(labelled.sample(docs, labels, "toxic", BY, HELD_OUT, id_col, text_col))
+def keep_clean(docs: DataFrame, corpus: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs without the rows that are predicted toxic, decided row by row in one pass; all columns stay. corpus: the documents that labels are of."""
+    scorer = train(labelled.sample(corpus, labels, "toxic", BY, HELD_OUT, id_col, text_col))
     sent = ship(docs.sparkSession).sparkContext.broadcast(scorer)
     made: list[_Tokens] = []
 
