@@ -29,22 +29,58 @@ _LONG = 200
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
 
-def encode_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """(control bytes, data bytes) of unsigned 32-bit numbers."""
+_SHIFTS = np.array([0, 2, 4, 6], np.uint8)
+_GROUP = 1 << 20  # numbers that are coded at a time
+
+
+def _padded(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(control bytes of each record, place of each number among all two-bit codes)."""
+    controls = -(-counts // 4)
+    shift = 4 * (np.cumsum(controls) - controls) - (np.cumsum(counts) - counts)
+    return controls, np.repeat(shift, counts) + np.arange(counts.sum())
+
+
+def encode_records(ranks: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(control bytes, their number by record, data bytes, their number by record) of records of unsigned 32-bit numbers that stand end to end."""
     x = np.ascontiguousarray(ranks, "<u4")
     code = (x > 0xFF).astype(np.uint8) + (x > 0xFFFF) + (x > 0xFFFFFF)
-    padded = np.zeros(-(-len(x) // 4) * 4, np.uint8)
-    padded[: len(x)] = code
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    return control.tobytes(), x.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]].tobytes()
+    controls, place = _padded(counts)
+    codes = np.zeros(4 * int(controls.sum()), np.uint8)
+    codes[place] = code
+    control = (codes.reshape(-1, 4) << _SHIFTS).sum(axis=1, dtype=np.uint8)
+    data = x.view(np.uint8).reshape(-1, 4)[np.arange(4) <= code[:, None]]
+    ends = np.concatenate(([0], np.cumsum(code.astype(np.int64) + 1)))
+    last = np.cumsum(counts)
+    return control, controls, data, ends[last] - ends[last - counts]
+
+
+def decode_records(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers of the records, end to end."""
+    sizes = _LENGTHS[control].ravel()[_padded(counts)[1]]
+    out = np.zeros((len(sizes), 4), np.uint8)
+    out[np.arange(4) < sizes[:, None]] = data
+    return out.view("<u4").ravel()
 
 
-def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The n numbers that were encoded."""
-    sizes = _LENGTHS[np.frombuffer(control, np.uint8)].ravel()[:n]
-    out = np.zeros((n, 4), np.uint8)
-    out[np.arange(4) < sizes[:, None]] = np.frombuffer(data, np.uint8)
-    return out.view("<u4").ravel()
+def _groups(sizes: np.ndarray) -> Iterator[slice]:
+    """Rows in slices of some _GROUP numbers, one row at least."""
+    at, total = 0, np.concatenate(([0], np.cumsum(sizes)))
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(total, total[at] + _GROUP, side="right")) - 1)
+        yield slice(at, end)
+        at = end
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all bytes of a binary column, the size of each value)."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if column.buffers()[2] is not None else np.zeros(0, np.uint8)
+    return data, np.diff(offsets)
+
+
+def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
 
 
 class _Recent(dict):
@@ -89,44 +125,54 @@ class Words:
     def whole(self, text: str) -> bytes:
         return np.array(self.of.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def ids(self, text: str | None, end: int) -> np.ndarray:
-        """The ids and the end id. A null text counts as an empty one."""
+    def ids(self, text: str | None, end: bytes) -> bytes:
+        """The ids and the end id as bytes. A null text counts as an empty one."""
         raw = (text or "").encode("utf-8", "surrogatepass")
         if b"<|" in raw:  # perhaps a special token, which is told by its case
-            own = [self.whole(text)]
-        else:
-            known = self.words
-            own = [known[w] for w in raw.lower().split()]  # bytes: ASCII only
-        own.append(np.array([end], "<u4").tobytes())
-        return np.frombuffer(b"".join(own), "<u4")
+            return self.whole(text) + end
+        known = self.words
+        return b"".join([known[w] for w in raw.lower().split()]) + end  # bytes: ASCII only
 
 
 _words: dict[str, Words] = {}
 
 
-def token_ids(text: str | None, path: str, end: int) -> np.ndarray:
-    """The library's ids of a text, and the end id."""
+def words(path: str) -> Words:
     if path not in _words:
         _words[path] = Words(path)
-    return _words[path].ids(text, end)
+    return _words[path]
 
 
 def tokenized(docs: DataFrame, path: str, end: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids): a table of the ids, two bytes each where they fit, else four."""
+    """(id, width, ids): a table of the ids, width (2 or 4) bytes each."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, last = words(path), np.array([end], "<u4").tobytes()
         for batch in batches:
-            rows = [token_ids(t.as_py(), path, end) for t in batch.column(1)]
-            small = [int(x.max()) < 1 << 16 for x in rows]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.bool_()), pa.array([x.astype("<u2" if s else "<u4").tobytes() for x, s in zip(rows, small, strict=True)], pa.binary())], names=["id", "small", "ids"])
+            rows = [of.ids(t.as_py(), last) for t in batch.column(1)]
+            flat = np.frombuffer(b"".join(rows), "<u4")
+            width = 2 if not len(flat) or flat.max() < 1 << 16 else 4
+            sizes = np.fromiter(map(len, rows), np.int64, len(rows)) // 4 * width
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(rows), width, np.int32)), _binary(flat.astype(f"<u{width}").view(np.uint8), sizes)], names=["id", "width", "ids"])
 
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return written(rows.mapInArrow(each, "id long, small boolean, ids binary"), "ids")
-
-
-def _numbers(small: bool, ids: bytes) -> np.ndarray:
-    return np.frombuffer(ids, "<u2" if small else "<u4")
+    return written(rows.mapInArrow(each, "id long, width int, ids binary"), "ids")
+
+
+def _numbers(batch: pa.RecordBatch, width: int, ids: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """(rows, their numbers end to end, how many each has) of some rows at a time."""
+    widths = batch.column(width).to_numpy()
+    data, sizes = _bytes_of(batch.column(ids))
+    counts, ends = sizes // np.maximum(widths, 1), np.concatenate(([0], np.cumsum(sizes)))
+    for part in _groups(counts):
+        for w in (2, 4):  # widths change between batches of the writer
+            if (widths[part] == w).all():
+                yield part, data[ends[part.start] : ends[part.stop]].view(f"<u{w}"), counts[part]
+                break
+        else:
+            own = [data[ends[r] : ends[r + 1]].view(f"<u{widths[r]}").astype("<u4") for r in range(part.start, part.stop)]
+            yield part, np.concatenate(own), counts[part]
 
 
 def frequency_ranks(tokens: DataFrame) -> list[int]:
@@ -135,15 +181,14 @@ def frequency_ranks(tokens: DataFrame) -> list[int]:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for small, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                n = np.bincount(_numbers(small, ids.as_py()))
-                if len(n) > len(total):
-                    total = np.pad(total, (0, len(n) - len(total)))
-                total[: len(n)] += n
+            for _, numbers, _ in _numbers(batch, 0, 1):
+                n = np.bincount(numbers, minlength=len(total))
+                n[: len(total)] += total
+                total = n
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
-    counts = tokens.select("small", "ids").mapInArrow(each, "id long, n long")
+    counts = tokens.select("width", "ids").mapInArrow(each, "id long, n long")
     return [r.id for r in counts.groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").collect()]
 
 
@@ -159,12 +204,10 @@ def write_files(docs: DataFrame, to: str, path: str, end: int, id_col: str = "do
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         for batch in batches:
-            rows = [rank[_numbers(s, i.as_py())] for s, i in zip(batch.column(1).to_pylist(), batch.column(2), strict=True)]
-            coded = [encode_ranks(x) for x in rows]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([shard] * len(rows), pa.int64()), pa.array([len(x) for x in rows], pa.int64()), pa.array([c for c, _ in coded], pa.binary()), pa.array([d for _, d in coded], pa.binary())],
-                names=["id", "shard", "n_tokens", "control", "data"],
-            )
+            for part, numbers, counts in _numbers(batch, 1, 2):
+                control, controls, data, sizes = encode_records(rank[numbers], counts)
+                own = batch.column(0).slice(part.start, part.stop - part.start)
+                yield pa.RecordBatch.from_arrays([own, pa.array(np.full(len(counts), shard)), pa.array(counts), _binary(control, controls), _binary(data, sizes)], names=["id", "shard", "n_tokens", "control", "data"])
 
     dealt = tokens.repartitionByRange("id").sortWithinPartitions("id")
     dealt.mapInArrow(each, "id long, shard long, n_tokens long, control binary, data binary").write.parquet(f"{to}/records")
@@ -178,7 +221,13 @@ def read_files(spark: SparkSession, at: str, digest) -> DataFrame:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            value = [digest(ids[decode_ranks(c.as_py(), d.as_py(), n)]) for n, c, d in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True)]
+            counts = batch.column(2).to_numpy()
+            (control, controls), (data, sizes) = _bytes_of(batch.column(3)), _bytes_of(batch.column(4))
+            c_ends, d_ends = np.concatenate(([0], np.cumsum(controls))), np.concatenate(([0], np.cumsum(sizes)))
+            value = []
+            for part in _groups(counts):
+                own = ids[decode_records(control[c_ends[part.start] : c_ends[part.stop]], data[d_ends[part.start] : d_ends[part.stop]], counts[part])]
+                value += [digest(x) for x in np.split(own, np.cumsum(counts[part])[:-1])]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(value, pa.int64())], names=["id", "shard", "n_tokens", "value"])
 
     return spark.read.parquet(f"{at}/records").select("id", "shard", "n_tokens", "control", "data").mapInArrow(each, "id long, shard long, n_tokens long, value long")
