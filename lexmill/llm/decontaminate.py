@@ -4,7 +4,7 @@ A word is a run of letters and digits, lower-cased. Each fixed mask is laid at e
 its ignored positions ("0") may hold any word, so a substituted word there does not break the hit.
 Passages and documents meet on the hashes of the cared-for words. Hits on one diagonal of a document
 and a passage are then verified word by word around each hit: a passage position counts as found if
-a hit spans it and both words are equal. A document holds a passage if at least ``threshold`` of the
+it lies in a hit or within ``AROUND`` words of it and both words are equal. A document holds a passage if at least ``threshold`` of the
 passage's positions are found, over all diagonals (so insertions and deletions only cut a diagonal).
 """
 
@@ -13,10 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.store import written
+from lexmill.llm.store import without, written
 
 #: Fixed masks, five cared-for words each.
 MASKS = ("110111", "1101011")
+AROUND = 4
 #: A passage table of at most so many seed rows (about 24 bytes each) is broadcast; a larger one is joined by shuffle.
 BROADCAST_SEEDS = 1_000_000
 
@@ -73,7 +74,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     texts = docs.select(F.col("_id").alias("_d"), F.col("_text"))
     near = hits.join(passages, F.col("_item").eqNullSafe(F.col("_i")) & (F.col("variant") == F.col("_v"))).join(texts, F.col("_id").eqNullSafe(F.col("_d")))
     near = near.select("_id", "_item", "variant", "i_n", "hits", "diagonal", "i_words", words(F.col("_text")).alias("words"))
-    spanned = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["i_start"], h["i_start"] + h["span"] - 1))))
+    around = lambda h: F.sequence(F.greatest(h["i_start"] - AROUND, F.lit(0)), F.least(h["i_start"] + h["span"] - 1 + AROUND, F.col("i_n") - 1))
+    spanned = F.filter(F.array_distinct(F.flatten(F.transform("hits", around))), lambda i: i + F.col("diagonal") >= 0)
     found = F.filter(spanned, lambda i: F.get(F.col("words"), i + F.col("diagonal")) == F.get(F.col("i_words"), i))
     places = near.select("_id", "_item", "variant", "i_n", F.explode_outer(found).alias("place")).where("place is not null").distinct()
     held = places.groupBy("_id", "_item", "variant", "i_n").agg(F.count(F.lit(1)).alias("n_found"))
@@ -84,5 +86,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """docs without the documents that hold a passage; all columns stay, and so do clean rows with any id."""
-    bad = written(contaminated(docs, benchmark, id_col, text_col, **kw).select(F.col(id_col).alias("_bad")).distinct(), "leaking")
-    return docs.join(bad, F.col("_bad").eqNullSafe(F.col(id_col)), "left_anti")
+    bad = written(contaminated(docs, benchmark, id_col, text_col, **kw).select(id_col).distinct(), "leaking")
+    return without(docs, bad, id_col)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.store import written
+from lexmill.llm.store import fresh, lost_matches, written
 
 BLANKS = r"[\x20\x09-\x0D]"
 _MAX_LONG = "9223372036854775807"
@@ -91,13 +91,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts
     Rows with a null id are decided by their own text: the ids that stay are joined null-safely.
     Of rows that repeat both id and text one stays.
     """
-    marked = annotate(docs, id_col, text_col, salts)
-    lost = written(marked.where(~F.col("kept")).select(F.col(id_col).alias("_lost"), F.col("text_sha256").alias("_sha")).distinct(), "lost")
-    mine = F.sha2(normalised(F.col(text_col)), 256)
-    left = docs.withColumn("_mine", mine).join(lost, F.col("_lost").eqNullSafe(F.col(id_col)) & (F.col("_sha") == F.col("_mine")), "left_anti").drop("_mine")
-    repeated = marked.where("kept").groupBy(id_col, "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col(id_col).alias("_rep"))
+    marked = written(annotate(docs, id_col, text_col, salts), "marked")
+    rows = docs.withColumn(mine := fresh("own_sha", *docs.columns), F.sha2(normalised(F.col(text_col)), 256))
+    lost, theirs = fresh("lost_id", *rows.columns), fresh("lost_sha", *rows.columns)
+    gone = marked.where(~F.col("kept")).select(F.col(id_col).alias(lost), F.col("text_sha256").alias(theirs)).distinct()
+    left = rows.join(gone, lost_matches(lost, id_col) & (F.col(theirs) == F.col(mine)), "left_anti")
+    repeated = marked.where("kept").groupBy(id_col, "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col(id_col).alias(lost)).distinct()
     if repeated.isEmpty():
-        return left
-    again = written(repeated.distinct(), "repeated")
-    same = F.col("_rep").eqNullSafe(F.col(id_col))
-    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").withColumn("_sha", mine).dropDuplicates([id_col, "_sha"]).drop("_sha"))
+        return left.drop(mine)
+    repeated = written(repeated, "repeated")
+    once = left.join(repeated, lost_matches(lost, id_col), "left_semi").dropDuplicates([id_col, mine])
+    return left.join(repeated, lost_matches(lost, id_col), "left_anti").unionByName(once).drop(mine)

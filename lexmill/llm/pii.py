@@ -120,6 +120,10 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return text.select(F.col("_id").alias(id_col), F.when(some, of(BASE, 0)).otherwise(empty).alias("base"), F.when(some, of(ADDED, len(BASE))).otherwise(empty).alias("added"))
 
 
+def _count(kind: int) -> Column:
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: counts of the base kinds, base_sha256, spans (all, by start), and the highest score (null without spans)."""
     names = F.array(*[F.lit(k.name) for k in (*BASE, *ADDED)])
@@ -127,7 +131,7 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     both = F.array_sort(F.concat("base", "added"))
     return find(docs, id_col, text_col).select(
         id_col,
-        *[F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k.name}") for i, k in enumerate(BASE)],
+        *[_count(i).alias(f"n_{k.name}") for i, k in enumerate(BASE)],
         F.sha2(said(F.col("base")), 256).alias("base_sha256"),
         said(both).alias("spans"),
         F.round(F.array_max(F.transform(both, lambda s: s["score"])), 6).alias("top_score"),

@@ -2,8 +2,8 @@
 
 Fingerprints within ``BITS`` differing bits agree on two of six blocks at least, so each distinct
 fingerprint goes to 15 buckets, one per pair of blocks. Buckets of more than ``HOT`` fingerprints are
-dealt anew, by one of the five parts of the bits that the bucket leaves open (one of them must agree
-too), so no task gets an unbounded bucket and no link is lost. In a bucket the fingerprints are sorted
+cut into parts of that size, and each pair of parts is a bucket of its own, so no task gets an
+unbounded bucket and no link is lost. In a bucket the fingerprints are sorted
 by Gray rank, which puts those that share bit patterns side by side; groups of them form the nodes of
 an index, each with the mask of the bits on which its members agree. A search goes down the levels
 with all queries at once; it adds up the differences in the bits that a level newly fixes and drops a
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions.shipping import ship
-from lexmill.llm.store import written
+from lexmill.llm.store import without, written
 
 BITS = 4
 SHINGLE = 4
@@ -163,47 +163,30 @@ def _pair_masks() -> list[int]:
     return [cuts[i] | cuts[j] for i in range(6) for j in range(i + 1, 6)]
 
 
-def _parts(mask: int, n: int = 5) -> list[int]:
-    """The bits outside mask in n parts, each with the bits of mask."""
-    free = [b for b in range(64) if not mask >> b & 1]
-    return [mask | sum(1 << b for b in free[k::n]) for k in range(n)]
-
-
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def _dealt(rows: DataFrame, of: dict[int, list[tuple[int, int]]]) -> DataFrame:
-    """rows(..., fp) with a row (table, key, fp) for each (table, mask) listed under its table."""
-    to = None
-    for table, masks in of.items():
-        here = F.array(*[F.struct(F.lit(t).alias("table"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for t, m in masks])
-        to = here if to is None else F.when(F.col("table") == table, here).otherwise(to)
-    return rows.select("fp", F.explode(to).alias("to")).select("to.table", "to.key", "fp")
+def _dealt(fps: DataFrame, hot: int) -> DataFrame:
+    """(table, key, pair, fp): every bucket's fingerprints; a bucket of more than ``hot`` is cut into parts, and each pair of its parts is a bucket of its own."""
+    masks = F.array(*[F.struct(F.lit(t).alias("table"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("key")) for t, m in enumerate(_pair_masks())])
+    rows = fps.select("fp", F.explode(masks).alias("to")).select("to.table", "to.key", "fp")
+    large = written(rows.groupBy("table", "key").count().where(F.col("count") > hot).select("table", "key", F.ceil(F.col("count") / hot).cast("int").alias("parts")), "hot")
+    if large.isEmpty():
+        return rows.withColumn("pair", F.lit(0))
+    cool = rows.join(large, ["table", "key"], "left_anti").withColumn("pair", F.lit(0))
+    own = rows.join(large, ["table", "key"]).withColumn("p", F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    pairs = own.select("table", "key", "fp", "parts", "p", other.alias("q"))
+    return cool.select("table", "key", "pair", "fp").unionByName(pairs.select("table", "key", (F.least("p", "q") * F.col("parts") + F.greatest("p", "q")).alias("pair"), "fp"))
 
 
 def links(fps: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
     """(u, v), u > v: stars whose closure is that of all links of the distinct ``fps`` (fp)."""
     ship(fps.sparkSession)
-    masks = dict(enumerate(_pair_masks()))
-    rows = _dealt(fps.select("fp", F.lit(-1).alias("table")), {-1: list(masks.items())})
-    ready = None
-    while True:  # each turn fixes more bits; a bucket with 12 open bits or fewer cannot hold more than HOT fingerprints
-        large = written(rows.groupBy("table", "key").count().where(F.col("count") > hot).select(F.col("table").alias("t"), F.col("key").alias("k")), "hot")
-        open_ = {t: m for t, m in masks.items() if 64 - m.bit_count() > max(12, 5)}
-        if large.isEmpty() or not open_:
-            ready = rows if ready is None else ready.unionByName(rows)
-            break
-        here = (F.col("t") == F.col("table")) & (F.col("k") == F.col("key")) & F.col("table").isin(list(open_))
-        cool = rows.join(large, here, "left_anti")
-        ready = cool if ready is None else ready.unionByName(cool)
-        base = max(masks) + 1
-        finer = {t: [(base + 5 * i + k, p) for k, p in enumerate(_parts(m))] for i, (t, m) in enumerate(open_.items())}
-        rows = written(_dealt(rows.join(large, here, "left_semi"), finer), "finer")
-        masks = {t: p for ps in finer.values() for t, p in ps}
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest, held = None, 0
+        rest = None
 
         def out(bucket: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
             a, b = _stars(bucket, fp.view(np.uint64), bits)
@@ -211,20 +194,20 @@ def links(fps: DataFrame, bits: int = BITS, hot: int = HOT) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], names=["u", "v"])
 
         for batch in batches:
-            table, key, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            table, key, pair, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
             if rest is not None:
-                table, key, fp = (np.concatenate(x) for x in zip(rest, (table, key, fp), strict=True))
-            change = np.flatnonzero((table[1:] != table[:-1]) | (key[1:] != key[:-1])) + 1
+                table, key, pair, fp = (np.concatenate(x) for x in zip(rest, (table, key, pair, fp), strict=True))
+            change = np.flatnonzero((table[1:] != table[:-1]) | (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])) + 1
             cut = change[-1] if len(change) else 0  # the last bucket may go on
-            rest = tuple(x[cut:].copy() for x in (table, key, fp))
+            rest = tuple(x[cut:].copy() for x in (table, key, pair, fp))
             if cut:
                 ids = np.zeros(cut, np.int64)
                 ids[change[:-1]] = 1
                 yield out(np.cumsum(ids), fp[:cut])
         if rest is not None and len(rest[0]):
-            yield out(np.zeros(len(rest[0]), np.int64), rest[2])
+            yield out(np.zeros(len(rest[0]), np.int64), rest[3])
 
-    dealt = ready.repartition("table", "key").sortWithinPartitions("table", "key")
+    dealt = _dealt(fps, hot).select("table", "key", "pair", "fp").repartition("table", "key", "pair").sortWithinPartitions("table", "key", "pair")
     return dealt.mapInArrow(each, "u long, v long").distinct()
 
 
@@ -269,5 +252,5 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bit
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each component: that of the smallest id; all columns stay. Rows with a null id stay only where a component has no id. Of rows that repeat the id that stays, all stay."""
     found = classes(docs, id_col, text_col)
-    lost = written(found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_lost")).distinct(), "near")
-    return docs.join(lost, F.col("_lost").eqNullSafe(F.col(id_col)), "left_anti")
+    lost = written(found.where(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col).distinct(), "near")
+    return without(docs, lost, id_col)

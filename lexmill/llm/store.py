@@ -6,7 +6,8 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _made: list[tuple[SparkSession, str]] = []
 
@@ -39,6 +40,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, *taken: str) -> str:
+    """name, made longer until no column of ``taken`` has it."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
+def without(docs: DataFrame, lost: DataFrame, id_col: str) -> DataFrame:
+    """docs without the rows whose id is in lost's single column (nulls match); all columns stay, whatever their names."""
+    name = fresh("lost_id", *docs.columns)
+    return docs.join(lost.toDF(name), lost_matches(name, id_col), "left_anti")
+
+
+def lost_matches(name: str, id_col: str) -> Column:
+    return F.col(name).eqNullSafe(F.col(id_col))
+
+
 def _drop_all() -> None:
     for spark, path in _made:
         try:

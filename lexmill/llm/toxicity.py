@@ -86,6 +86,9 @@ class _Tokens(dict):
         return code
 
 
+WIDTH = 18  # features of a text
+
+
 def features(text: str, tokens: _Tokens) -> np.ndarray:
     """An empty text gives zeros."""
     words = text.split()
@@ -113,7 +116,7 @@ class Scorer(NamedTuple):
 
 def _table(texts: list[str], lexicon: dict[str, float]) -> np.ndarray:
     tokens = _Tokens(lexicon)
-    return np.array([features(t, tokens) for t in texts]).reshape(len(texts), -1)
+    return np.array([features(t, tokens) for t in texts]).reshape(len(texts), WIDTH)
 
 
 def train(rows: pd.DataFrame) -> Scorer:
@@ -122,7 +125,7 @@ def train(rows: pd.DataFrame) -> Scorer:
     if len(y) == 0 or y.min() == y.max():
         return Scorer({}, gbdt.fit(np.zeros((len(y), 1)), y), gbdt.isotonic(np.zeros(0), y[:0]))
     fold = np.arange(len(y)) % FOLDS
-    x = np.zeros((len(y), len(features("", _Tokens({})))))
+    x = np.zeros((len(y), WIDTH))
     for k in range(FOLDS):
         own = np.flatnonzero(fold == k)
         others = np.flatnonzero(fold != k)
@@ -142,7 +145,7 @@ def score(docs: DataFrame, scorer: Scorer, id_col: str = "doc_id", text_col: str
         s = sent.value
         tokens = made[0] if made else made.append(_Tokens(s.lexicon)) or made[0]
         for batch in batches:
-            x = np.array([features(t.as_py() or "", tokens) for t in batch.column(1)]).reshape(batch.num_rows, -1)
+            x = np.array([features(t.as_py() or "", tokens) for t in batch.column(1)]).reshape(batch.num_rows, WIDTH)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s.calibrate(s.model.probability(x)), pa.float64())], names=["id", "score"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -170,7 +173,7 @@ def keep_clean(docs: DataFrame, corpus: DataFrame, labels: DataFrame, id_col: st
     @F.pandas_udf("double")
     def toxic(texts: pd.Series) -> pd.Series:
         tokens = made[0] if made else made.append(_Tokens(sent.value.lexicon)) or made[0]
-        x = np.array([features(t or "", tokens) for t in texts]).reshape(len(texts), -1)
+        x = np.array([features(t or "", tokens) for t in texts]).reshape(len(texts), WIDTH)
         return pd.Series(sent.value.calibrate(sent.value.model.probability(x)))
 
     return docs.where(toxic(F.col(text_col)) < REJECT)
