@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
 from lexmill.functions.shipping import ship
+from lexmill.functions.store import written
 from lexmill.operators.chunking import cut_spans
 
 # ---- fixed values: patterns, word lists and templates that results depend on
@@ -411,7 +412,7 @@ def expand(candidates: DataFrame, per_item: int = 3, keep: int = 4) -> DataFrame
     asked = generate_questions(with_slots.select("cand_id", F.explode(F.array_distinct(F.concat("tags", F.array(F.lit("generic"))))).alias("tag"), "slots"), "cand_id", per_item)
     asked = asked.groupBy("cand_id", F.lower("question").alias("_q")).agg(F.min(F.struct("tag", "question")).alias("b")).select("cand_id", "b.*")
     rows = with_slots.withColumnRenamed("question", "first_question").join(asked, "cand_id")
-    rows = rows.withColumn("reason", reject_reason(F.col("question"), F.col("answer_text"), F.col("slots"), F.col("doc_name"), F.col("heading")))
+    rows = written(rows.withColumn("reason", reject_reason(F.col("question"), F.col("answer_text"), F.col("slots"), F.col("doc_name"), F.col("heading"))), "expanded")
     good = rows.where("reason is null")
     kept = mmr_select(good.select("cand_id", "question", F.col("text").alias("about")), "cand_id", keep)
     return rows.join(kept, ["cand_id", "question"], "left").withColumn("kept", F.col("place").isNotNull()).withColumn("wh", detect_wh(F.col("question")))
@@ -419,7 +420,7 @@ def expand(candidates: DataFrame, per_item: int = 3, keep: int = 4) -> DataFrame
 
 def extract(pages: DataFrame) -> DataFrame:
     """Harvest and expand; of questions that are equal over all pages, the first stays."""
-    rows = expand(harvest(pages)).where("kept")
+    rows = expand(written(harvest(pages), "harvest")).where("kept")
     norm = F.array_join(T.plain_words(F.col("question")), " ")
     first = Window.partitionBy(norm).orderBy("doc_id", "page_num", "ord", "place")
     return rows.withColumn("_k", F.row_number().over(first)).where("_k = 1").drop("_k")
@@ -427,7 +428,7 @@ def extract(pages: DataFrame) -> DataFrame:
 
 def assemble(candidates: DataFrame, total: int = 100, quotas: dict[str, float] | None = None, seed: int = 42) -> DataFrame:
     """Length bounds, dedupe, WH quotas, stratified sample, caps per document, span check; ids g-0000 on."""
-    rows = candidates.where(F.length("answer_text").between(*ANSWER_CHARS))
+    rows = written(candidates.where(F.length("answer_text").between(*ANSWER_CHARS)), "candidates")
     rows = wh_targets_semi(dedupe(rows), wh_quota(rows.select("question"), seed=seed))
     rows = doc_caps(stratified_sample(rows, quotas or TAG_QUOTAS, total, "question", seed=seed))
     number = F.row_number().over(Window.orderBy("doc_id", "page_num", "ord", "question")) - 1  # total rows at most

@@ -15,6 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.functions.store import written
 from lexmill.operators import chunking, evaluate, fusion, lexical, vector
 from lexmill.operators import pages as P
 from lexmill.sources import readers, writers
@@ -73,7 +74,7 @@ class Cache:
 @dataclass
 class Indexes:
     chunks: DataFrame
-    lexical: bool
+    lexical: lexical.Index
     semantic: bool
     fingerprint: str
     embedder: Callable[[str], np.ndarray]
@@ -89,11 +90,11 @@ class Engine:
     def ingest(self, paths: list[str], mode: str = "semantic", pdf=None, per_doc: int = 800, total: int = 1200) -> tuple[DataFrame, DataFrame, DataFrame]:
         """(pages, chunks, report) of files."""
         raw, report = readers.read_documents(self.spark, paths, per_doc, total, pdf)
-        clean = P.with_offsets(P.clean_pages(raw))
-        return clean, self.chunk(clean, mode), report
+        pages = written(P.with_offsets(written(P.clean_pages(written(raw, "raw")), "clean")), "pages")
+        return pages, self.chunk(pages, mode), report
 
     def chunk(self, pages: DataFrame, mode: str = "semantic") -> DataFrame:
-        return chunking.chunk_documents(pages, mode)
+        return written(chunking.chunk_documents(pages, mode), "chunks")
 
     def build_indexes(self, chunks: DataFrame, config: RetrievalConfig | None = None) -> Indexes:
         """Chunks with embeddings, kept; built anew only if the chunks' fingerprint changed. An embedder that fails is followed by the next; without any, retrieval is lexical."""
@@ -109,11 +110,11 @@ class Engine:
             except Exception as e:  # a model that cannot be loaded; the next one is tried
                 notices.append(f"embedder failed: {e}")
                 continue
-            ready = vector.embed(chunks, "text", embedder).cache()
-            self.indexes = Indexes(ready, True, True, print_, embedder, Cache(config.cache_size), notices)
+            ready = written(vector.embed(chunks, "text", embedder), "index")
+            self.indexes = Indexes(ready, lexical.build(ready, "chunk_id", keep=True), True, print_, embedder, Cache(config.cache_size), notices)
             return self.indexes
-        ready = chunks.withColumn("embedding", F.lit(None).cast("array<float>")).cache()
-        self.indexes = Indexes(ready, True, False, print_, chunking.hashed_embedding, Cache(config.cache_size), notices)
+        ready = written(chunks.withColumn("embedding", F.lit(None).cast("array<float>")), "index")
+        self.indexes = Indexes(ready, lexical.build(ready, "chunk_id", keep=True), False, print_, chunking.hashed_embedding, Cache(config.cache_size), notices)
         return self.indexes
 
     def engine_for(self, asked: str) -> tuple[str, str | None]:
@@ -128,14 +129,14 @@ class Engine:
         return asked, None
 
     def retrieve_all(self, queries: DataFrame, config: RetrievalConfig) -> dict[str, DataFrame]:
-        """queries(query_id, query) -> first_pass, reranked and context lists; blank queries give no rows."""
+        """queries(query_id, query) -> first_pass, reranked and context lists, kept for further use; blank queries give no rows."""
         i = self.indexes
         engine, _ = self.engine_for(config.engine)
         asked = queries.where(F.trim("query") != "")
         chunks = i.chunks
 
         def lexical_list(k: int) -> DataFrame:
-            found = lexical.search(chunks, asked.select("query_id", F.col("query").alias("text")), k, "chunk_id", "query_id")
+            found = lexical.search(chunks, asked.select("query_id", F.col("query").alias("text")), k, "chunk_id", "query_id", index=i.lexical)
             return found.select("query_id", "chunk_id", "score", "rank")
 
         def semantic_list(k: int) -> DataFrame:
@@ -150,8 +151,8 @@ class Engine:
         else:
             first = (semantic_list if engine == "semantic" else lexical_list)(config.top_k)
         record = chunks.select("chunk_id", "doc_id", "page_start", "page_end", "text", "token_len", "embedding")
-        first = first.join(record, "chunk_id").join(asked, "query_id")
-        reranked = fusion.rerank(first, config.rerank_top_n, truncate=config.truncate_rerank)
+        first = written(first.join(record, "chunk_id").join(asked, "query_id"), "first")
+        reranked = written(fusion.rerank(first, config.rerank_top_n, truncate=config.truncate_rerank), "reranked")
         listed = reranked.withColumn("score", F.col("rerank_score")).withColumn("rank", F.col("rerank_rank"))
         context = fusion.pack_context(listed.select("query_id", "chunk_id", "doc_id", "score", "rank", "token_len", "embedding"), config.context_tokens, config.mmr_lambda, config.per_doc_cap)
         return {"first_pass": first, "reranked": listed, "context": context}
@@ -184,7 +185,7 @@ class Engine:
             part = lambda rows, c=config: rows.select(F.lit(c.engine).alias("engine"), "query_id", "rank", "page_start", "page_end", F.lit(None).cast("int").alias("char_start"), F.lit(None).cast("int").alias("char_end"), F.length("text").alias("n_chars"))
             a, b = part(lists["first_pass"]), part(lists["reranked"].where(F.col("rank") <= 5))
             first, final = (a, b) if first is None else (first.unionByName(a), final.unionByName(b))
-        items = evaluate.item_metrics(first, final, gold).cache()
+        items = written(evaluate.item_metrics(first, final, gold), "items")
         diffs = evaluate.paired(items, "ndcg_at_10")
         out = {"items": items, "aggregates": evaluate.aggregates(items), "per_tag": evaluate.per_tag(items), "comparisons": evaluate.win_loss_tie(diffs).join(evaluate.bootstrap(diffs).drop("diff_mean"), ["engine_a", "engine_b"])}
         if folder:
