@@ -1,43 +1,13 @@
-"""Tables that cut lineage: written to the folder every executor shares."""
+"""Written tables and column names that clash with nothing."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_made: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); in local mode a new one where unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    made = tempfile.mkdtemp(prefix="lexmill-")
-    spark.conf.set("spark.checkpoint.dir", f"file://{made}")
-    return f"file://{made}"
-
+from lexmill.functions.store import new_path, written
 
-def new_path(spark: SparkSession, name: str) -> str:
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    if not _made:
-        atexit.register(_drop_all)
-    _made.append((spark, path))
-    return path
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder, read back; it outlives any executor."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["fresh", "lost_matches", "new_path", "without", "written"]
 
 
 def fresh(name: str, *taken: str) -> str:
@@ -56,12 +26,3 @@ def without(docs: DataFrame, lost: DataFrame, id_col: str) -> DataFrame:
 
 def lost_matches(name: str, id_col: str) -> Column:
     return F.col(name).eqNullSafe(F.col(id_col))
-
-
-def _drop_all() -> None:
-    for spark, path in _made:
-        try:
-            hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
-        except Exception:  # the session has ended
-            return
