@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from lexmill.functions.shipping import ship
 from lexmill.llm.store import new_path, written
 
 #: Entries of a worker's memory of words, in each of two generations.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 _LONG = 200
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
@@ -103,7 +104,6 @@ class _Recent(dict):
 
 #: Between a letter and a sign (but the apostrophe) of ASCII a word is cut in any case.
 _PART = re.compile(rb"(?<=[a-z])(?=[!-&(-@\[-`{-~])|(?<=[!-&(-@\[-`{-~])(?=[a-z])")
-_LETTERS = re.compile(rb"[a-z]+")
 
 
 class Words:
@@ -118,12 +118,12 @@ class Words:
         self.words = _Recent(lambda w: b"".join([self.parts[p] for p in _PART.split(w)]))
 
     def part(self, part: bytes) -> bytes:
-        if _LETTERS.fullmatch(part):
-            return np.array([t.id for t in self.model.tokenize(part.decode())], "<u4").tobytes()
+        if part.isalpha():  # bytes: ASCII letters, which the tokenizer's steps before the merges leave alone
+            return array("I", [t.id for t in self.model.tokenize(part.decode())]).tobytes()
         return self.whole(part.decode("utf-8", "surrogatepass"))
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.of.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.of.encode(text, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str | None, end: bytes) -> bytes:
         """The ids and the end id as bytes. A null text counts as an empty one."""
