@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,10 +14,14 @@ BLANK = r"[\s\p{Z}\x1C-\x1F\x85]"
 WORD = r"[\p{L}\p{N}_](?:[\p{L}\p{N}_-]*[\p{L}\p{N}_])?"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often body names it; Spark repeats it otherwise."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), 0)
+
+
 def lines(text: Column) -> Column:
     """splitlines(): no last empty line."""
-    parts = F.split(text, LINE_END, -1)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return let(F.split(text, LINE_END, -1), lambda parts: F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts))
 
 
 def strip(text: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -20,19 +21,26 @@ MAX_TOTAL_TOKENS = 300_000
 
 def profile(text: Column) -> Column:
     """struct(short_line_ratio, digit_symbol_ratio, gap_line_ratio, table_heavy) over the lines that are not blank."""
-    own = F.filter(F.transform(T.lines(text), T.strip), lambda x: x != "")
-    n = F.size(own)
-    share = lambda cond: F.when(n > 0, F.size(F.filter(own, cond)) / n).otherwise(F.lit(0.0))
-    short = share(lambda x: F.length(x) < 40)
-    signs = share(lambda x: F.length(F.regexp_replace(x, r"[^\p{Nd}²³¹⁰-⁹₀-₉①-⑨|:/\-+%,]", "")) / F.length(x) > 0.6)
-    gaps = F.when(n > 0, T.count_of(text, "\n\n") / F.greatest(F.lit(1), T.count_of(text, "\n"))).otherwise(F.lit(1.0))
-    return F.struct(short.alias("short_line_ratio"), signs.alias("digit_symbol_ratio"), gaps.alias("gap_line_ratio"), ((signs > 0.5) | (short > 0.6)).alias("table_heavy"))
+
+    def of(own: Column) -> Column:
+        n = F.size(own)
+        share = lambda cond: F.when(n > 0, F.size(F.filter(own, cond)) / n).otherwise(F.lit(0.0))
+        short = share(lambda x: F.length(x) < 40)
+        signs = share(lambda x: F.length(F.regexp_replace(x, r"[^\p{Nd}²³¹⁰-⁹₀-₉①-⑨|:/\-+%,]", "")) / F.length(x) > 0.6)
+        gaps = F.when(n > 0, T.count_of(text, "\n\n") / F.greatest(F.lit(1), T.count_of(text, "\n"))).otherwise(F.lit(1.0))
+        return F.struct(short.alias("short_line_ratio"), signs.alias("digit_symbol_ratio"), gaps.alias("gap_line_ratio"))
+
+    shares = T.let(F.filter(F.transform(T.lines(text), T.strip), lambda x: x != ""), of)
+    heavy = lambda s: F.struct(s["short_line_ratio"].alias("short_line_ratio"), s["digit_symbol_ratio"].alias("digit_symbol_ratio"), s["gap_line_ratio"].alias("gap_line_ratio"), ((s["digit_symbol_ratio"] > 0.5) | (s["short_line_ratio"] > 0.6)).alias("table_heavy"))
+    return T.let(shares, heavy)
 
 
 def kind(raw: Column) -> Column:
     """The kind of a block, by the first rule that fits."""
-    t = T.strip(raw)
-    own = T.lines(t)
+    return T.let(T.strip(raw), lambda t: T.let(T.lines(t), lambda own: _kind(t, own)))
+
+
+def _kind(t: Column, own: Column) -> Column:
     single = F.size(own) == 1
     digits = F.length(F.regexp_replace(t, r"[^\p{Nd}²³¹⁰-⁹₀-₉①-⑨]", ""))
     starts = lambda x: F.regexp_replace(x, f"^{T.BLANK}+", "").rlike(r"\A(?:- |\* |•|1\.|a\.)")
@@ -60,18 +68,23 @@ def blocks(pages: DataFrame) -> DataFrame:
     """pages -> (doc_id, page_num, block_seq, kind, text, char_start, char_end): parts between blank lines; blank ones are dropped, but a page without any gives one block of kind other."""
     spans = F.filter(cut_spans(F.col("text"), r"\n\s*\n"), lambda x: T.strip(x["text"]) != "")
     empty = F.array(F.struct(F.lit("").alias("text"), F.lit(0).alias("start"), F.lit(0).alias("end")))
-    rows = pages.select("doc_id", "page_num", F.posexplode(F.when(F.size(spans) > 0, spans).otherwise(empty)).alias("block_seq", "b"))
+    rows = pages.select("doc_id", "page_num", F.posexplode_outer(T.let(spans, lambda s: F.when(F.size(s) > 0, s).otherwise(empty))).alias("block_seq", "b"))
     return rows.select("doc_id", "page_num", "block_seq", kind(F.col("b.text")).alias("kind"), T.strip(F.col("b.text")).alias("text"), F.col("b.start").alias("char_start"), F.col("b.end").alias("char_end"))
 
 
 # ---- semantic segments
 
 
+@lru_cache(200_000)
+def _word_hash(word: str) -> int:
+    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
 def hashed_embedding(text: str, dims: int = 64) -> np.ndarray:
     """A deterministic vector of a text: its words hashed to signed places, of unit length (zeros without words)."""
     out = np.zeros(dims)
     for w in text.lower().split():
-        h = int.from_bytes(hashlib.blake2b(w.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        h = _word_hash(w)
         out[h % dims] += 1.0 if h >> 63 else -1.0
     size = np.linalg.norm(out)
     return out / size if size else out
@@ -114,11 +127,14 @@ def semantic_segments(pages: DataFrame, embed: Callable[[str], np.ndarray] = has
 def strategy(text: Column, mode: Column | str = "semantic", has_segments: Column | bool = True) -> Column:
     """struct(strategy, max_tokens, min_tokens, overlap, max_pages)."""
     mode = F.lit(mode) if isinstance(mode, str) else mode
-    fixed = (mode != "semantic") | profile(text)["table_heavy"] | ~(F.lit(has_segments) if isinstance(has_segments, bool) else has_segments)
-    table = profile(text)["table_heavy"]
-    pick = lambda k: F.when(table, TABLE_CONFIG[k]).otherwise(TEXT_CONFIG[k])
-    name = F.when(table, "fixed_table").when(fixed, "fixed").otherwise("semantic")
-    return F.struct(name.alias("strategy"), pick(0).alias("max_tokens"), pick(1).alias("min_tokens"), pick(2).alias("overlap"), pick(3).alias("max_pages"))
+    has = F.lit(has_segments) if isinstance(has_segments, bool) else has_segments
+
+    def of(table: Column) -> Column:
+        pick = lambda k: F.when(table, TABLE_CONFIG[k]).otherwise(TEXT_CONFIG[k])
+        name = F.when(table, "fixed_table").when((mode != "semantic") | ~has, "fixed").otherwise("semantic")
+        return F.struct(name.alias("strategy"), pick(0).alias("max_tokens"), pick(1).alias("min_tokens"), pick(2).alias("overlap"), pick(3).alias("max_pages"))
+
+    return T.let(profile(text)["table_heavy"], of)
 
 
 def runs(pages: DataFrame, config: str = "config") -> DataFrame:
@@ -218,11 +234,11 @@ def chunk_documents(pages: DataFrame, mode: str = "semantic") -> DataFrame:
 def sliding(rows: DataFrame, size: int, overlap: int, id_col: str = "doc_id") -> DataFrame:
     """(id, seq, text, token_len): windows of tokens; of equal windows of a row the first stays."""
     step = max(1, size - overlap if 0 < overlap < size else size)
-    own = rows.select(id_col, T.tokens(F.col("text")).alias("t")).where(F.size("t") > 0)
-    starts = F.sequence(F.lit(0), F.size("t") - 1, F.lit(step))
+    own = rows.select(id_col, T.tokens(F.col("text")).alias("t"))
+    starts = F.when(F.size("t") > 0, F.sequence(F.lit(0), F.greatest(F.size("t") - 1, F.lit(0)), F.lit(step)))
     parts = F.transform(starts, lambda i: F.array_join(F.slice("t", i + 1, size), " "))
-    each = own.select(id_col, F.posexplode(parts).alias("seq", "text"))
-    return each.groupBy(id_col, "text").agg(F.min("seq").alias("seq")).withColumn("token_len", F.size(F.split("text", " ")))
+    each = own.select(id_col, F.posexplode_outer(parts).alias("seq", "text"))  # outer: an inner one computes the arrays twice
+    return each.where("text is not null").groupBy(id_col, "text").agg(F.min("seq").alias("seq")).withColumn("token_len", F.size(F.split("text", " ")))
 
 
 def guardrail(chunks: DataFrame, limit: int = MAX_TOTAL_TOKENS) -> DataFrame:

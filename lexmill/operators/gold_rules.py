@@ -58,15 +58,25 @@ ANSWER_CHARS, QUESTION_CHARS = (5, 300), (8, 160)
 
 def match_spans(text: Column, pattern: str) -> Column:
     """Matches of a pattern in order: struct(text, start, end), offsets in code points."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = cut_spans(text, pattern)
-    return F.transform(F.arrays_zip(found.alias("m"), F.slice(gaps, 1, F.size(found)).alias("g")), lambda x: F.struct(x["m"].alias("text"), x["g"]["end"].alias("start"), (x["g"]["end"] + F.length(x["m"])).alias("end")))
+    return T.let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda found: F.when(F.size(found) > 0, _placed(found, F.split(text, pattern, -1))).otherwise(F.array().cast(_SPANS)))
+
+
+_SPANS = "array<struct<text:string,start:int,end:int>>"
+
+
+def _placed(found: Column, gaps: Column) -> Column:
+    pairs = F.zip_with(gaps, found, lambda g, m: F.struct(F.length(g).alias("gap"), m.alias("m")))
+    fold = lambda a, p: F.struct((a["at"] + p["gap"] + F.coalesce(F.length(p["m"]), F.lit(0))).alias("at"), F.concat(a["out"], F.array(a["at"] + p["gap"])).alias("out"))
+    starts = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), fold, lambda a: a["out"])
+    return F.zip_with(found, F.slice(starts, 1, F.size(found)), lambda m, s: F.struct(m.alias("text"), s.alias("start"), (s + F.length(m)).alias("end")))
 
 
 def _stripped(spans: Column) -> Column:
-    lead = lambda t: F.length(t) - F.length(F.regexp_replace(t, f"^{T.BLANK}+", ""))
-    own = F.transform(spans, lambda s: F.struct(T.strip(s["text"]).alias("text"), (s["start"] + lead(s["text"])).alias("start"), (s["start"] + lead(s["text"]) + F.length(T.strip(s["text"]))).alias("end")))
-    return F.filter(own, lambda s: s["text"] != "")
+    def own(s: Column) -> Column:
+        lead = F.length(s["text"]) - F.length(F.regexp_replace(s["text"], f"^{T.BLANK}+", ""))
+        return T.let(T.strip(s["text"]), lambda x: F.struct(x.alias("text"), (s["start"] + lead).alias("start"), (s["start"] + lead + F.length(x)).alias("end")))
+
+    return F.filter(F.transform(spans, own), lambda s: s["text"] != "")
 
 
 def line_spans(text: Column) -> Column:
@@ -106,7 +116,7 @@ def tag_question(question: Column, answer: Column) -> Column:
 
 def _harvested(pages: DataFrame, spans: Column, source: str, order: int) -> DataFrame:
     """One row per span: struct(question, answer, start, end, heading, constraint_, metric)."""
-    rows = pages.select("doc_id", "doc_name", "page_num", "text", F.posexplode(spans).alias("pos", "s"))
+    rows = pages.select("doc_id", "doc_name", "page_num", "text", F.posexplode_outer(spans).alias("pos", "s")).where("s is not null")  # outer: an inner one computes the spans twice
     rows = rows.select("doc_id", "doc_name", "page_num", "text", "pos", "s.*")
     extra = {"heading_para": "heading_para", "definition": "definition", "table": "table", "caption": "caption", "numeric": "numeric"}[source]
     tags = F.array_sort(F.array_distinct(F.concat(tag_question(F.col("question"), F.col("answer")), F.array(F.lit(extra)))))
