@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ from lexmill.functions.shipping import ship
 from lexmill.llm.store import new_path, written
 
 #: Entries of a worker's memory of words, in each of two generations.
-REMEMBERED = 250_000
+REMEMBERED = 300_000
 _LONG = 200
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 
@@ -63,11 +64,11 @@ def decode_records(control: np.ndarray, data: np.ndarray, counts: np.ndarray) ->
     return out.view("<u4").ravel()
 
 
-def _groups(sizes: np.ndarray) -> Iterator[slice]:
-    """Rows in slices of some _GROUP numbers, one row at least."""
+def _groups(sizes: np.ndarray, most: int = _GROUP) -> Iterator[slice]:
+    """Rows in slices of some ``most`` numbers, one row at least."""
     at, total = 0, np.concatenate(([0], np.cumsum(sizes)))
     while at < len(sizes):
-        end = max(at + 1, int(np.searchsorted(total, total[at] + _GROUP, side="right")) - 1)
+        end = max(at + 1, int(np.searchsorted(total, total[at] + most, side="right")) - 1)
         yield slice(at, end)
         at = end
 
@@ -133,6 +134,23 @@ class Words:
         known = self.words
         return b"".join([known[w] for w in raw.lower().split()]) + end  # bytes: ASCII only
 
+    def batch(self, texts: pa.Array, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts end to end, how many each has). Each different word of the batch is looked up once."""
+        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        ends = split.offsets.to_numpy().astype(np.int64)
+        coded = split.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
+        known = self.words
+        own = [known[w] for w in coded.dictionary.cast(pa.binary()).to_pylist()]
+        own.append(end.tobytes())
+        pool, sizes = np.frombuffer(b"".join(own), "<u4"), np.fromiter(map(len, own), np.int64, len(own)) // 4
+        starts = np.cumsum(sizes) - sizes
+        ends -= ends[0]
+        which = np.insert(coded.indices.to_numpy().astype(np.int64), ends[1:], len(own) - 1)  # the end id behind each text
+        size = sizes[which]
+        until = np.concatenate(([0], np.cumsum(size)))
+        flat = pool[np.repeat(starts[which] - until[:-1], size) + np.arange(until[-1])]
+        return flat, np.diff(until[np.concatenate(([0], ends[1:] + np.arange(1, len(ends))))])
+
 
 _words: dict[str, Words] = {}
 
@@ -143,17 +161,27 @@ def words(path: str) -> Words:
     return _words[path]
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
+    """Batches of some 8 MB of text, one row at least, with their texts; nulls are empty."""
+    for whole in batches:
+        texts = pc.fill_null(whole.column(1), "")
+        for part in _groups(pc.binary_length(texts).to_numpy().astype(np.int64), 8 << 20):
+            yield whole.slice(part.start, part.stop - part.start), texts.slice(part.start, part.stop - part.start)
+
+
 def tokenized(docs: DataFrame, path: str, end: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, width, ids): a table of the ids, width (2 or 4) bytes each."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, last = words(path), np.array([end], "<u4").tobytes()
-        for batch in batches:
-            rows = [of.ids(t.as_py(), last) for t in batch.column(1)]
-            flat = np.frombuffer(b"".join(rows), "<u4")
+        of, last = words(path), np.array([end], "<u4")
+        for batch, texts in _slices(batches):
+            if pc.any(pc.match_substring(texts, "<|")).as_py():
+                rows = [of.ids(t.as_py(), last.tobytes()) for t in texts]
+                flat, counts = np.frombuffer(b"".join(rows), "<u4"), np.fromiter(map(len, rows), np.int64, len(rows)) // 4
+            else:
+                flat, counts = of.batch(texts, last)
             width = 2 if not len(flat) or flat.max() < 1 << 16 else 4
-            sizes = np.fromiter(map(len, rows), np.int64, len(rows)) // 4 * width
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(rows), width, np.int32)), _binary(flat.astype(f"<u{width}").view(np.uint8), sizes)], names=["id", "width", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(counts), width, np.int32)), _binary(flat.astype(f"<u{width}").view(np.uint8), counts * width)], names=["id", "width", "ids"])
 
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
