@@ -23,7 +23,7 @@ SUFFIXES = ("txt", "md", "pdf")
 def text_pages(spark: SparkSession, paths: list[str] | str, max_pages: int = 800) -> DataFrame:
     """Text and Markdown files: pages between form feeds, the first max_pages; bytes that are not UTF-8 become replacement characters."""
     own = spark.read.format("binaryFile").load(paths)
-    text = F.decode("content", "UTF-8")
+    text = F.make_valid_utf8(F.col("content").cast("string"))
     return _pages(own.withColumn("pages", F.split(F.coalesce(text, F.lit("")), "\f", -1)), max_pages)
 
 

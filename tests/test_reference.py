@@ -339,6 +339,12 @@ def test_gold_files(spark, tmp_path):
         readers.gold(spark, "g.xml")
 
 
+def test_broken_bytes_become_replacement_characters(spark, tmp_path):
+    (tmp_path / "x.txt").write_bytes(b"ok \xff\xfe end\x0cnext")
+    got = readers.text_pages(spark, str(tmp_path / "x.txt"), 5).orderBy("page_num").collect()
+    assert [r.text for r in got] == ["ok \ufffd\ufffd end", "next"]
+
+
 def test_pdf_adapter(spark, tmp_path):
     (tmp_path / "x.pdf").write_bytes(b"one|two|three")
     got = readers.pdf_pages(spark, str(tmp_path / "x.pdf"), 2, lambda content, n: content.decode().split("|")[:n])
