@@ -146,6 +146,30 @@ def test_pii_adds_by_checksum_and_context(spark):
     assert [found[i].spans for i in range(4)] == ["iban:7:34", "", "ssn:10:21", ""]
 
 
+def test_pii_ibans_before_words_and_lists_of_numbers(spark):
+    iban = "DE89370400440532013000"
+    own = [f"{iban}{tail}" for tail in (" Please send", " BIC COBADEFF", " 4711", " A", ".", " GB82WEST12345698765432", "Please")]
+    own += [f"XX12 {iban}", f"no GB12 3456 or {iban} AB", "QQ41 1234 5678 9012 345 AND MORE", "SSNs: 123-45-6789, 234-56-7890", "123-45-6789, 234-56-7890 (SSN)", "ssn " + "x" * 44 + " 123-45-6789", "ssn " + "x" * 43 + " 123-45-6789, 234-56-7890"]
+    code = next(f"QQ{k:02d}12345678901234" for k in range(2, 99) if int("12345678901234" + "2626" + f"{k:02d}") % 97 == 1)
+    own += [f"{code[:4]} {code[4:]} AND MORE"]
+    found = rows(pii.report(spark.createDataFrame(list(enumerate(own)), "doc_id long, text string")))
+    got = [",".join(s for s in found[i].spans.split(",") if s.startswith(("iban", "ssn"))) for i in range(len(own))]
+    assert got[:7] == ["iban:0:22"] * 5 + ["iban:0:22,iban:23:45", ""]
+    assert got[7:9] == ["iban:5:27", "iban:16:38"]
+    assert got[10:14] == ["ssn:6:17,ssn:19:30", "ssn:0:11,ssn:13:24", "", "ssn:48:59"]
+    assert got[14] == "iban:0:19"
+
+
+def test_pii_context_is_the_text_around_a_span(spark):
+    r = random.Random(4)
+    own = ["".join(r.choice(["123-45-6789", "234-56-7890", "a@b.co", "+1 988 555 2485", " ssn", " ", ", ", "x" * 20, "é😀", "1.2.3.4"]) for _ in range(r.randint(1, 30))) for _ in range(300)]
+    found = rows(pii.report(spark.createDataFrame(list(enumerate(own)), "doc_id long, text string")))
+    for i, t in enumerate(own):
+        all_ = [m for m in re.finditer(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", t)]
+        near = [m for m in all_ if re.search("ssn", t[max(0, m.start() - 48) : m.start()]) or re.search("ssn", t[m.end() : m.end() + 48])]
+        assert [s for s in found[i].spans.split(",") if s.startswith("ssn")] == [f"ssn:{m.start()}:{m.end()}" for m in near], t
+
+
 # 4, 6
 
 
