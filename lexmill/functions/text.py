@@ -58,11 +58,11 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"[^\s\p{Z}\x1C-\x1F\x85]+"), F.lit(0))
 
 
-def sentences(text: Column, most: int = 300) -> Column:
-    """Naive sentences: cut behind . ! or ? and blanks; blank ones dropped; the first ``most``."""
+def sentences(text: Column, most: int | None = None) -> Column:
+    """Naive sentences: cut behind . ! or ? and blanks; blank ones dropped; all, or the first ``most``."""
     parts = F.split(text, r"(?<=[.!?])\s+", -1)
     kept = F.filter(F.transform(parts, strip), lambda s: s != "")
-    return F.slice(kept, 1, most)
+    return kept if most is None else F.slice(kept, 1, most)
 
 
 def count_of(text: Column, part: str) -> Column:

@@ -100,10 +100,10 @@ def semantic_groups(parts: list[str], embed: Callable[[str], np.ndarray] = hashe
     return [" ".join(parts[a:b]) for a, b in zip(cuts, cuts[1:], strict=False) if b > a]
 
 
-def semantic_segments(pages: DataFrame, embed: Callable[[str], np.ndarray] = hashed_embedding) -> DataFrame:
-    """(doc_id, page_num, segment_seq, text, char_start, char_end); a segment is found from the end of the last one on, or stands at the cursor."""
+def semantic_segments(pages: DataFrame, embed: Callable[[str], np.ndarray] = hashed_embedding, most: int | None = None) -> DataFrame:
+    """(doc_id, page_num, segment_seq, text, char_start, char_end); a segment is found from the end of the last one on, or stands at the cursor. ``most`` bounds a page's sentences; those behind it are in no segment."""
     ship(pages.sparkSession)
-    rows = pages.select("doc_id", "page_num", "text", T.sentences(F.col("text")).alias("parts"))
+    rows = pages.select("doc_id", "page_num", "text", T.sentences(F.col("text"), most).alias("parts"))
     d, p = rows.schema["doc_id"].dataType.simpleString(), rows.schema["page_num"].dataType.simpleString()
 
     def each(frames):

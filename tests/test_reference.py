@@ -218,6 +218,17 @@ def test_stratified_sample_takes_no_row_twice(spark):
     assert len(got) == len(set(got)) == 20 and sum(k % 4 == 0 for k in got) >= 10
 
 
+def test_segments_and_chunks_hold_all_sentences(spark):
+    text = " ".join(f"Sentence number w{i} ends here." for i in range(700))
+    own = pages(spark, [text])
+    segments = chunking.semantic_segments(own).orderBy("segment_seq").collect()
+    assert " ".join(r.text for r in segments) == text
+    assert [text[r.char_start : r.char_end] for r in segments] == [r.text for r in segments]
+    assert " ".join(r.text for r in chunking.semantic_segments(own, most=300).orderBy("segment_seq").collect()) == text[: text.index(" Sentence number w300 ")]
+    held = {w for r in chunking.chunk_documents(own).collect() for w in r.text.split()}
+    assert held == set(text.split())
+
+
 def test_mmr_prefers_new_words():
     texts = ["red fox jumps", "red fox jumps high", "green turtle swims"]
     assert gold_rules.mmr(texts, "red fox jumps green turtle", 2, 0.5) in ([0, 2], [1, 2], [2, 0])
