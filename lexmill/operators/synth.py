@@ -7,16 +7,19 @@ connection by itself.
 from __future__ import annotations
 
 import json
+import math
 import re
 import time
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as T
 from lexmill.functions.shipping import ship
+from lexmill.functions.store import written
 from lexmill.operators import gold_rules as G
 from lexmill.operators.chunking import token_estimate
 
@@ -341,28 +344,49 @@ def evidence_summary(window: Column, spans: Column, raw: Column) -> Column:
     return F.when(F.size(spans) > 0, numbered(texts)).when(F.size(raw) > 0, numbered(raw)).otherwise("No evidence was given.")
 
 
+def pick_diverse(near: list[float], vectors: list[list[tuple[str, float]]], k: int, weight: float = 0.7) -> list[int]:
+    """Places of k of the unit vectors, greedily: a high own score, unlike those chosen. Of equal values the first counts."""
+    held: dict[str, tuple[list[int], list[float]]] = {}
+    for i, v in enumerate(vectors):
+        for term, w in v:
+            at, of = held.setdefault(term, ([], []))
+            at.append(i), of.append(w)
+    terms = {t: (np.array(at), np.array(of)) for t, (at, of) in held.items()}
+    own, like, chosen = np.asarray(near, dtype=float), np.zeros(len(vectors)), []
+    free = np.zeros(len(vectors))
+    for _ in range(min(k, len(vectors))):
+        best = int(np.round(weight * own - (1 - weight) * like + free, 9).argmax())
+        chosen.append(best)
+        free[best] = -np.inf
+        to_best = np.zeros(len(vectors))
+        for term, w in vectors[best]:
+            at, of = terms[term]
+            to_best[at] += w * of
+        np.maximum(like, to_best, out=like)
+    return chosen
+
+
 def wh_quota_mmr(rows: DataFrame, total: int | None = None, targets: dict[str, float] | None = None) -> DataFrame:
-    """rows(key, question, about) with wh: of each class with a share, the ceil(total * share) most relevant and different ones; ``about`` of the first row is what they are compared with. Classes are cut by hash into parts of bounded size first."""
+    """rows(key, question, about) with wh: of each class with a share, the ceil(total * share) most relevant and different ones. A question's relevance is its likeness to its own ``about``; weights are over all questions and abouts. A class is chosen from as a whole."""
     ship(rows.sparkSession)
     shares = G.WH_TARGETS if targets is None else targets
-    n = rows.count() if total is None else total
-    import math
-
-    want = {k: math.ceil(n * v) for k, v in shares.items()}
-    own = rows.select("key", "question", "about").withColumn("wh", G.detect_wh(F.col("question")))
-    sizes = own.groupBy("wh").count()
-    part = own.join(F.broadcast(sizes), "wh").withColumn("parts", F.ceil(F.col("count") / 2000).cast("int")).withColumn("part", F.pmod(F.xxhash64("question"), F.col("parts")))  # sizes: a row per class
+    own = written(rows.select("key", "question", "about").withColumn("wh", G.detect_wh(F.col("question"))).withColumn("_id", F.monotonically_increasing_id()), "asked")
+    n = own.count() if total is None else total
+    want = {k: math.ceil(n * max(v, 0.0)) for k, v in shares.items()}
+    over = [r.wh for r in own.groupBy("wh").count().collect() if r.wh in want and r["count"] > want[r.wh]]  # a row per class
+    texts = own.select((F.col("_id") * 2).alias("doc"), F.col("question").alias("text")).unionByName(own.select((F.col("_id") * 2 + 1).alias("doc"), F.col("about").alias("text")))
+    vectors = written(G.tfidf(texts, "doc").withColumn("_id", F.floor(F.col("doc") / 2)), "weights")
+    asked, about = vectors.where("doc % 2 = 0"), vectors.where("doc % 2 = 1").select("_id", "term", F.col("weight").alias("w2"))
+    scored = asked.join(about, ["_id", "term"], "left").groupBy("_id").agg(F.sum(F.col("weight") * F.coalesce("w2", F.lit(0.0))).alias("near"), F.sort_array(F.collect_list(F.struct("term", "weight"))).alias("v"))
     key = rows.schema["key"].dataType.simpleString()
 
     def each(frame: pd.DataFrame) -> pd.DataFrame:
-        f = frame.sort_values("question").reset_index(drop=True)
-        wh = f["wh"].iloc[0]
-        if wh not in want:
-            return f[["key", "question", "wh"]]
-        k = math.ceil(want[wh] / f["parts"].iloc[0])
-        return f.loc[G.mmr(f["question"].tolist(), f["about"].iloc[0] or "", k), ["key", "question", "wh"]] if k else f.loc[[], ["key", "question", "wh"]]
-
-    return part.groupBy("wh", "part").applyInPandas(each, f"key {key}, question string, wh string")
+        f = frame.sort_values(["question", "key"]).reset_index(drop=True)
+        v = [[(x["term"], x["weight"]) for x in own] if own is not None else [] for own in f["v"]]
+        return f.loc[pick_diverse(f["near"].fillna(0.0).tolist(), v, want[f["wh"].iloc[0]]), ["key", "question", "wh"]]
+
+    picked = own.where(F.col("wh").isin(over)).drop("about").join(scored, "_id", "left").drop("_id").groupBy("wh").applyInPandas(each, f"key {key}, question string, wh string")
+    return picked.unionByName(own.where(~F.col("wh").isin(over)).select("key", "question", "wh"))
 
 
 def stats(items: DataFrame) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -229,6 +231,32 @@ def test_segments_and_chunks_hold_all_sentences(spark):
     assert held == set(text.split())
 
 
+def test_wh_quota_mmr_equals_brute_force(spark):
+    r = random.Random(3)
+    some = lambda n: " ".join(r.choice("valve pump inlet outlet seal rotor shaft gauge flow motor".split()) + str(r.randint(0, 60)) for _ in range(n))
+    own = [(f"k{i:05d}", f"What {some(4)} ?", some(8)) for i in range(2300)] + [(f"w{i}", f"Why {some(3)} ?", some(5)) for i in range(3)]
+    frame = spark.createDataFrame(own, "key string, question string, about string")
+    shares = {"what": 0.01, "why": 0.5}
+    got = synth.wh_quota_mmr(frame, targets=shares).collect()
+    bag = lambda t: Counter(w for w in re.findall(r"\w{2,}", t.lower()) if w not in gold_rules.STOPWORDS)
+    bags = [(bag(q), bag(a)) for _, q, a in own]
+    df = Counter(w for both in bags for b in both for w in b)
+
+    def unit(b):
+        w = {t: c * (math.log((1 + 2 * len(own)) / (1 + df[t])) + 1) for t, c in b.items()}
+        size = math.sqrt(sum(x * x for x in w.values()))
+        return {t: x / size for t, x in w.items()}
+
+    dot = lambda a, b: sum(x * b.get(t, 0.0) for t, x in a.items())
+    left = sorted((q, k, unit(b), dot(unit(b), unit(a))) for (k, q, _), (b, a) in zip(own, bags, strict=True) if k.startswith("k"))
+    chosen = []
+    for _ in range(math.ceil(len(own) * 0.01)):
+        best = max(left, key=lambda x: (round(0.7 * x[3] - 0.3 * max([dot(x[2], c[2]) for c in chosen], default=0.0), 9)))
+        chosen.append(best), left.remove(best)
+    assert sorted(x.key for x in got if x.wh == "what") == sorted(c[1] for c in chosen)
+    assert sorted(x.key for x in got if x.wh == "why") == ["w0", "w1", "w2"]
+
+
 def test_mmr_prefers_new_words():
     texts = ["red fox jumps", "red fox jumps high", "green turtle swims"]
     assert gold_rules.mmr(texts, "red fox jumps green turtle", 2, 0.5) in ([0, 2], [1, 2], [2, 0])
