@@ -1,19 +1,17 @@
 """Operator 2: SentencePiece encoding and decoding, exact merge-type encoding by backtracking.
 
-Pieces with the space mark have it in front only (or consist of it), so no piece spans the end of a
-unit: a run of marks and the characters up to the next one. A unit is encoded once per worker and
-kept. An Aho-Corasick automaton over the pieces gives the longest piece at each position. The encoder
+A text is cut into parts wherever no piece has the two characters side by side: no merge can join
+them (so a part is at most a word with its marks in front). A part is encoded once per worker and kept. An Aho-Corasick automaton over the pieces gives the longest piece at each position. The encoder
 takes it if the position behind it has not failed and if it is compatible with the piece before:
 merging the two pieces' characters anew gives the same two pieces. Else it takes the next shorter
 piece; when none is left, it marks the position as failed in a bitfield and gives back the piece
-before. Characters without a piece become byte pieces.
+before. Characters without a piece become byte pieces. Ids are decoded one by one.
 """
 
 from __future__ import annotations
 
+import codecs
 import hashlib
-import re
-import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,10 +22,12 @@ from pyspark.sql import functions as F
 from lexmill.functions.shipping import ship
 
 MARK = "▁"
-_UNIT = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Entries of a worker's memory of units or pairs; it starts anew beyond that.
-REMEMBERED = 250_000
-_LONG = 200  # longer units are not remembered
+#: Entries of the younger half of a worker's memory of parts; beyond that, it becomes the older half.
+REMEMBERED = 400_000
+_LONG = 200  # longer parts are not remembered
+
+# A broken byte becomes one replacement character, and so does each further byte of a broken character.
+codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
 
 class Codec:
@@ -47,16 +47,20 @@ class Codec:
             if sp.is_byte(i):
                 self.byte[int(name[3:5], 16)], self.byte_of[i] = i, int(name[3:5], 16)
             elif not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-                if MARK in name.lstrip(MARK):
-                    raise ValueError("this model has pieces that span units")
                 self.score[name], self.id[name] = sp.get_score(i), i
                 self.automaton.add_word(name, len(name))
         self.automaton.make_automaton()
-        # marks that no piece has behind a letter, and line ends if no piece has them: merging never crosses these places
-        behind = {b for name in self.score for a, b in zip(name, name[1:], strict=False) if a.isalpha()}
-        bare = "".join(c for c in "\n\t" if not any(c in name for name in self.score))
-        marks = re.escape("".join(c for c in string.punctuation if c not in behind))
-        self.part = re.compile("|".join([rf"(?<=[^\W\d_])(?=[{marks}])"] * bool(marks) + [f"(?=[{bare}])|(?<=[{bare}])"] * bool(bare)) or "$^")
+        # a number for each character that pieces have (0: any other), and which of them some piece has side by side
+        known = sorted({c for name in self.score for c in name})
+        self.number = np.zeros(0x110000, np.int32)
+        self.number[[ord(c) for c in known]] = np.arange(1, len(known) + 1)
+        self.joins = np.zeros((len(known) + 1) ** 2, bool)
+        self.kinds = len(known) + 1
+        for name in self.score:
+            n = self.number[[ord(c) for c in name]]
+            self.joins[n[:-1] * self.kinds + n[1:]] = True
+        # what an id says: its piece's text, or its byte, those beyond ASCII as surrogateescape has them
+        self.says = [chr(b + (0xDC00 if b > 127 else 0)) if (b := self.byte_of.get(i)) is not None else p.replace(MARK, " ") for i, p in enumerate(self.piece)]
         self.pairs: dict[tuple[str | None, str], bool] = {}
         self.shorter: dict[str, str | None] = {}
 
@@ -79,7 +83,7 @@ class Codec:
         key = (before, piece)
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= REMEMBERED:
+            if len(self.pairs) >= 2 * REMEMBERED:
                 self.pairs.clear()
             known = self.pairs[key] = self.merged((before or "") + piece) == ([piece] if before is None else [before, piece])
         return known
@@ -90,99 +94,95 @@ class Codec:
             self.shorter[piece] = piece[:cut] if len(piece) > 1 else None
         return self.shorter[piece]
 
-    def pieces(self, unit: str) -> list[str]:
-        """The pieces (or single characters without one) of a unit."""
-        longest = [1] * len(unit)
-        for end, size in self.automaton.iter(unit):
-            start = end - size + 1
-            if size > longest[start]:
-                longest[start] = size
+    def pieces(self, part: str) -> list[str]:
+        """The pieces (or single characters without one) of a part."""
+        n = len(part)
+        longest = [1] * n
+        for end, size in self.automaton.iter(part):  # a later match from the same start is longer
+            longest[end - size + 1] = size
         out: list[str] = []
-        failed, at, n = 0, 0, len(unit)
-        piece = unit[: longest[0]] if n else None
+        failed, at = bytearray(n // 8 + 1), 0
+        before, piece, pairs = None, part[: longest[0]] if n else None, self.pairs
         while piece is not None:
             end = at + len(piece)
-            if not failed >> end & 1 and self.fits(out[-1] if out else None, piece):
-                out.append(piece)
-                at = end
-                piece = unit[at : at + longest[at]] if at < n else None
-                continue
+            if not failed[end >> 3] >> (end & 7) & 1:
+                fits = pairs.get((before, piece))
+                if self.fits(before, piece) if fits is None else fits:
+                    out.append(piece)
+                    before, at = piece, end
+                    piece = part[at : at + longest[at]] if at < n else None
+                    continue
             piece = self.next_shorter(piece)
             if piece is None:
                 if not out:
-                    raise ValueError(f"no encoding of {unit[:80]!r}")
-                failed |= 1 << at
+                    raise ValueError(f"no encoding of {part[:80]!r}")
+                failed[at >> 3] |= 1 << (at & 7)
                 piece = out.pop()
+                before = out[-1] if out else None
                 at -= len(piece)
         return out
 
-    def unit_ids(self, unit: str) -> list[int]:
+    def part_ids(self, part: str) -> list[int]:
         ids: list[int] = []
-        for p in self.pieces(unit):
+        for p in self.pieces(part):
             i = self.id.get(p)
             ids += [i] if i is not None else [self.byte[b] for b in p.encode("utf-8", "surrogatepass")]
         return ids
 
-    @staticmethod
-    def units(text: str) -> list[str]:
-        return _UNIT.findall(MARK + text.replace(" ", MARK)) if text else []
+    def parts(self, text: str | None) -> list[str]:
+        """The parts of a text, with a mark in front and for each space; none of an empty one."""
+        if not text:
+            return []
+        text = MARK + text.replace(" ", MARK)
+        number = self.number[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+        cuts = (np.flatnonzero(~self.joins[number[:-1] * self.kinds + number[1:]]) + 1).tolist()
+        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
 
     def encode(self, text: str | None) -> list[int]:
         """The library's ids, with the end id. A null text counts as an empty one."""
-        return [i for u in self.units(text or "") for i in self.unit_ids(u)] + [self.end]
-
-    def joined(self, ids: list[int]) -> str:
-        """The ids' text with its first space still there."""
-        out, run = [], bytearray()
-        for i in [*ids, -1]:
-            b = self.byte_of.get(i)
-            if b is not None:
-                run.append(b)
-                continue
-            while run:  # valid characters as they are, any other byte as a replacement character
-                try:
-                    out.append(run.decode())
-                    run.clear()
-                except UnicodeDecodeError as e:
-                    out.append(run[: e.start].decode() + "�")
-                    del run[: e.start + 1]
-            if i >= 0:
-                out.append(self.piece[i].replace(MARK, " "))
-        return "".join(out)
+        return [i for p in self.parts(text) for i in self.part_ids(p)] + [self.end]
+
+    @staticmethod
+    def text_of(said: str) -> bytes:
+        """The UTF-8 text of what ids say."""
+        try:
+            return said.encode()
+        except UnicodeEncodeError:
+            return said.encode("utf-8", "surrogateescape").decode("utf-8", "each_byte").encode()
 
     def decode(self, ids: list[int]) -> str:
-        said = self.joined(ids)
+        said = "".join([self.says[i] for i in ids])
         first = next((i for i in ids if self.piece[i]), None)
-        return said[1:] if first is not None and self.piece[first].startswith(MARK) else said
+        return self.text_of(said[1:] if first is not None and self.piece[first].startswith(MARK) else said).decode()
 
 
-class _Units(dict):
-    """unit -> (its ids in decimal, their text). A unit is put together from parts that merging cannot cross."""
+class _Memory(dict):
+    """part -> its ids in decimal. When it is full, it becomes the older half and starts anew."""
 
-    def __init__(self, codec: Codec, parts: _Units | None = None) -> None:
-        self.codec, self.parts = codec, parts
+    def __init__(self, codec: Codec) -> None:
+        self.codec, self.old = codec, {}
 
-    def __missing__(self, unit: str) -> tuple[str, str]:
-        if self.parts is None:
-            ids = self.codec.unit_ids(unit)
-            found = " ".join(map(str, ids)), self.codec.joined(ids)
-        else:
-            own = [self.parts[p] for p in self.codec.part.split(unit) if p]
-            found = own[0] if len(own) == 1 else (" ".join([x[0] for x in own]), "".join([x[1] for x in own]))
-        if len(unit) <= _LONG:
+    def __missing__(self, part: str) -> str:
+        found = self.old.get(part)
+        if found is None:
+            found = " ".join(map(str, self.codec.part_ids(part)))
+        if len(part) <= _LONG:
             if len(self) >= REMEMBERED:
+                self.old = dict(self)
                 self.clear()
-            self[unit] = found
+            self[part] = found
         return found
 
 
-_codecs: dict[str, Codec] = {}
+_workers: dict[str, tuple[Codec, _Memory, dict[str, str]]] = {}
 
 
-def codec(model_path: str) -> Codec:
-    if model_path not in _codecs:
-        _codecs[model_path] = Codec(model_path)
-    return _codecs[model_path]
+def worker(model_path: str) -> tuple[Codec, _Memory, dict[str, str]]:
+    """A worker's codec, its memory of parts, and what each id (in decimal) says; they outlast a task."""
+    if model_path not in _workers:
+        c = Codec(model_path)
+        _workers[model_path] = c, _Memory(c), {str(i): t for i, t in enumerate(c.says)}
+    return _workers[model_path]
 
 
 def encode_table(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -193,7 +193,7 @@ def encode_table(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     """
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(model_path)
+        c, _, _ = worker(model_path)
         for batch in batches:
             ids = [c.encode(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), pa.array([c.decode(x) for x in ids])], names=["id", "ids", "decoded"])
@@ -207,20 +207,20 @@ def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
     """(id, n_tokens, ids_sha256, decoded_sha256) of encode_table()'s rows, and their ids (array<int>) if asked for."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(model_path)
-        known, end = _Units(c, _Units(c)), str(c.end)
+        c, known, says = worker(model_path)
+        end = str(c.end)
         for batch in batches:
             n, ids_sha, text_sha, arrays = [], [], [], []
             for text in batch.column(1):
                 text = text.as_py()
-                found = [known[u] for u in c.units(text)] if text else []
-                ids = " ".join([f[0] for f in found] + [end])
-                said = "".join([f[1] for f in found])
-                n.append(ids.count(" ") + 1)
+                ids = " ".join([known[p] for p in c.parts(text)] + [end])
+                each_id = ids.split(" ")
+                said = "".join([says[i] for i in each_id])
+                n.append(len(each_id))
                 if with_ids:
-                    arrays.append(np.fromstring(ids, np.int32, sep=" "))
+                    arrays.append(np.array(each_id, np.int32))
                 ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
-                text_sha.append(hashlib.sha256((said[1:] if said[:1] == " " else said).encode("utf-8", "surrogatepass")).hexdigest())
+                text_sha.append(hashlib.sha256(c.text_of(said[1:] if said[:1] == " " else said)).hexdigest())
             columns = {"id": batch.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
             if with_ids:
                 flat = np.concatenate(arrays) if arrays else np.zeros(0, np.int32)

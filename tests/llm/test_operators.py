@@ -90,10 +90,24 @@ def test_sentencepiece(spark):
     for _ in range(500):
         ids = [r.randint(3, 258) if r.random() < 0.5 else r.randint(0, 31_999) for _ in range(r.randint(0, 9))]
         assert codec.decode(ids) == sp.decode(ids)
-    docs = spark.createDataFrame(list(enumerate(own[:300])), "doc_id long, text string")
+
+
+def test_sentencepiece_digests(spark):
+    """The query's path against the library: every character of the vocabulary, numbers that are no digits, very long words."""
+    import sentencepiece
+
+    path = vocabulary("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    chars = sorted({c for i in range(sp.get_piece_size()) for c in sp.id_to_piece(i) if not sp.is_byte(i)})
+    r = random.Random(6)
+    own = ["", None, "E=mc². Then", "km². Area", "²."] + ["".join(chars[i : i + 60]) for i in range(0, len(chars), 60)]
+    own += ["".join(r.choice(chars if k % 2 else "²³½aé .,;-'1²xyzß漢😀\u200b") for _ in range(r.randint(1, 60))) for k in range(6000)]
+    own += ["".join(p.replace("▁", " ") for p in (sp.id_to_piece(r.randint(259, 31_999)) for _ in range(r.randint(1, 30)))) for _ in range(3000)]
+    own += ["ab" * 100_000, "漢字" * 100_000, "thand" * 40_000]
+    docs = spark.createDataFrame(list(enumerate(own)), "doc_id long, text string").repartition(8)
     for r_ in sentencepiece_bpe.digests(docs, path, with_ids=True).collect():
-        ids = sp.encode(own[r_.doc_id], add_eos=True)
-        assert list(r_.ids) == ids and r_.n_tokens == len(ids)
+        ids = sp.encode(own[r_.doc_id] or "", add_eos=True)
+        assert list(r_.ids) == ids and r_.n_tokens == len(ids), own[r_.doc_id][:100]
         assert r_.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r_.decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
 
