@@ -419,9 +419,9 @@ def brute_components(fps):
     return {i: top(i) for i in names}
 
 
-@pytest.mark.parametrize("hot", [4096, 3])
+@pytest.mark.parametrize("hot", [16_384, 3, 1])
 def test_simhash(spark, hot):
-    """Also with every bucket cut into pairs of parts."""
+    """Also with every key dealt anew, and cut into pairs of parts in the end."""
     own = [(i, prose(i % 25, 300) + (f" extra{i}" if i >= 25 else "")) for i in range(80)] + [(100, None), (101, " \n"), (102, "One"), (103, "ONE"), (104, "a b c"), (105, "É é")]
     found = rows(simhash.classes(spark.createDataFrame(own, "doc_id long, text string"), hot=hot))
     fps = {i: slow_fingerprint(t) for i, t in own}
@@ -441,6 +441,54 @@ def test_gray_index():
     assert got == want
 
 
+def test_gray_index_with_a_key():
+    """stars() finds the components of all links that differ in no bit of the key, whatever bits it has."""
+    r = np.random.default_rng(8)
+    base = r.integers(0, 2**63, 40, dtype=np.uint64)
+    near = np.concatenate([base] + [base ^ (np.uint64(1) << r.integers(0, 64, 40, dtype=np.uint64)) ^ (np.uint64(1) << r.integers(0, 64, 40, dtype=np.uint64)) for _ in range(30)])
+    fps = np.unique(near)
+    for mask in (*simhash._pair_masks()[:3], simhash.longer(simhash._pair_masks()[4])[2]):
+        u, v = simhash.stars(fps, mask)
+        got = dict(zip(u.tolist(), v.tolist(), strict=True))
+        groups = {}
+        for x in fps.tolist():
+            groups.setdefault(got.get(x, x), set()).add(x)
+        near = {x: [y for y in fps.tolist() if (x ^ y).bit_count() <= 4 and not (x ^ y) & mask] for x in fps.tolist()}
+        want = []
+        left = set(near)
+        while left:
+            stack, own = [left.pop()], set()
+            while stack:
+                x = stack.pop()
+                own.add(x)
+                stack += [y for y in near[x] if y not in own]
+            left -= own
+            want.append(frozenset(own))
+        assert set(want) == set(map(frozenset, groups.values()))
+
+
+def test_every_link_is_in_a_table():
+    r = random.Random(1)
+    for _ in range(500):
+        a = r.getrandbits(64)
+        b = a
+        for k in r.sample(range(64), 4):
+            b ^= 1 << k
+        masks = simhash._pair_masks()
+        for _ in range(simhash.REFINED + 1):
+            masks = [m for m in masks if not (a ^ b) & m]
+            assert masks
+            masks = [x for m in masks for x in simhash.longer(m)]
+
+
+def test_simhash_hot_fingerprint(spark):
+    """A fingerprint with most of all rows, and a component with a hub of many."""
+    docs = spark.range(200_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 > 0, F.lit("one text for two rows of three")).otherwise(F.concat_ws(" ", F.lit("x"), (F.col("id") % 50).cast("string"))).alias("text"))
+    found = simhash.classes(docs)
+    counts = {r.component_id: r["count"] for r in found.groupBy("component_id").count().collect()}
+    assert sum(counts.values()) == 200_000 and counts[1] == 133_333
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(60)] + [(200, 100)], "u long, v long")
     assert {r.u: r.v for r in simhash.components(edges).collect()} == {**{i: 0 for i in range(1, 61)}, 200: 100}
