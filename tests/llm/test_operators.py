@@ -506,6 +506,47 @@ def test_decontamination(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == {(0, 0), (1, 1), (2, 2), (10, 3), (12, 5), (13, 6)}
 
 
+def brute_similarity(item: list[str], doc: list[str]) -> float:
+    """The largest share of the passage's words that one diagonal of the document has in place."""
+    best = 0
+    for shift in range(1 - len(item), len(doc)):
+        best = max(best, sum(0 <= i + shift < len(doc) and doc[i + shift] == w for i, w in enumerate(item)))
+    return best / len(item)
+
+
+def test_decontamination_against_brute_force(spark):
+    """Words substituted at random places: what holds 0.8 of a passage on one diagonal is found, what holds less on all is not."""
+    r = random.Random(12)
+    word = lambda: r.choice(TEXTS) + r.choice(TEXTS)
+    items = [(k, [word() for _ in range(r.randint(12, 120))]) for k in range(40)]
+    docs = []
+    for i in range(400):
+        k, own = items[i % 40]
+        share = r.choice([0, 0.05, 0.1, 0.15, 0.19, 0.3, 0.5])
+        lost = set(r.sample(range(len(own)), int(share * len(own))))
+        inside = [f"new{j}" if j in lost else w for j, w in enumerate(own)]
+        docs.append((i, k, [word() for _ in range(r.randint(0, 60))] + inside + [word() for _ in range(r.randint(0, 60))]))
+    found = decontaminate.contaminated(spark.createDataFrame([(i, " ".join(t)) for i, _, t in docs], "doc_id long, text string"), spark.createDataFrame([(k, " ".join(t)) for k, t in items], "item_id long, text string"))
+    got = {(x.doc_id, x.item_id) for x in found.collect()}
+    near = {(i, k): brute_similarity(items[k][1], t) for i, k, t in docs}
+    want = {pair for pair, s in near.items() if s >= 0.8}
+    assert len(want) > 200 and len(got & want) / len(want) >= 0.98, len(got & want) / len(want)
+    assert got <= want
+
+
+def test_decontamination_hard_rows(spark):
+    """Rows without an id are judged each by its own text; long and repeated rows; names that clash."""
+    items = spark.createDataFrame([(1, prose(1, 30)), (1, prose(2, 30)), (None, prose(3, 30)), (None, prose(3, 30))], "item_id long, text string")
+    halves = [(None, prose(1, 30)[:110]), (None, prose(1, 30)[110:])]
+    own = [*halves, (5, prose(4, 100_000) + " " + prose(2, 30)), (6, prose(1, 30)), (6, "else"), (6, prose(1, 30)), (None, f"x {prose(3, 30)} y")]
+    docs = spark.createDataFrame(own, "doc_id long, text string").withColumns({c: F.lit(1) for c in ("_id", "_of", "seed", "first", "words")})
+    found = sorted((x.doc_id or 0, x.item_id or 0) for x in decontaminate.contaminated(docs, items).collect())
+    assert found == [(0, 0), (5, 1), (6, 1)]
+    kept = decontaminate.drop_contaminated(docs, items)
+    assert kept.columns == docs.columns
+    assert sorted((x.doc_id or 0, x.text) for x in kept.collect()) == sorted([*((0, t) for _, t in halves), (6, "else")])
+
+
 # all
 
 
