@@ -67,7 +67,7 @@ def rerank(candidates: DataFrame, top_n: int, scorer=overlap_score, truncate: bo
     return out.where(F.col("rerank_rank") <= top_n) if truncate else out
 
 
-def per_doc_cap(rows: DataFrame, cap: int, doc_col: str = "doc_id", by: str = _Q, order: str = "rank") -> DataFrame:
+def per_doc_cap(rows: DataFrame, cap: int, doc_col: str = "doc_id", by: str = _Q, order: str | list[Column] = "rank") -> DataFrame:
     return rows.withColumn("_k", F.row_number().over(Window.partitionBy(by, doc_col).orderBy(order))).where(F.col("_k") <= cap).drop("_k")
 
 

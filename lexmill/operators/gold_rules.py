@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import text as T
 from lexmill.functions.shipping import ship
 from lexmill.functions.store import written
+from lexmill.operators import lexical
 from lexmill.operators.chunking import cut_spans
 
 # ---- fixed values: patterns, word lists and templates that results depend on
@@ -114,15 +117,32 @@ def tag_question(question: Column, answer: Column) -> Column:
     return F.filter(tags, lambda t: t.isNotNull())
 
 
-def _harvested(pages: DataFrame, spans: Column, source: str, order: int) -> DataFrame:
-    """One row per span: struct(question, answer, start, end, heading, constraint_, metric)."""
-    rows = pages.select("doc_id", "doc_name", "page_num", "text", F.posexplode_outer(spans).alias("pos", "s")).where("s is not null")  # outer: an inner one computes the spans twice
-    rows = rows.select("doc_id", "doc_name", "page_num", "text", "pos", "s.*")
-    extra = {"heading_para": "heading_para", "definition": "definition", "table": "table", "caption": "caption", "numeric": "numeric"}[source]
-    tags = F.array_sort(F.array_distinct(F.concat(tag_question(F.col("question"), F.col("answer")), F.array(F.lit(extra)))))
-    return rows.select("doc_id", "doc_name", "page_num", "text", F.struct(F.lit(order).alias("kind"), "pos").alias("ord"), "question", F.col("answer").alias("answer_text"), F.col("start").alias("char_start"), F.col("end").alias("char_end"), tags.alias("tags"), F.lit(source).alias("source_type"), "heading", "constraint_", "metric")
+class Kind(NamedTuple):
+    """A way of harvesting: columns that the spans need, the spans of a page, and what their rows are called. order: among the kinds."""
 
+    source: str
+    order: int
+    helpers: Callable[[DataFrame], DataFrame]
+    spans: Column
 
+    def rows(self) -> Column:
+        return F.transform(self.spans, lambda s, i: F.struct(F.lit(self.order).alias("kind"), i.alias("pos"), F.lit(self.source).alias("source_type"), s.alias("s")))
+
+
+def _harvested(pages: DataFrame, *kinds: Kind) -> DataFrame:
+    """One row per span of every kind, from one pass over the pages: struct(question, answer, start, end, heading, constraint_, metric)."""
+    own = pages
+    for kind in kinds:
+        own = kind.helpers(own)
+    every = F.concat(*[k.rows() for k in kinds])
+    rows = own.select("doc_id", "doc_name", "page_num", "text", F.explode_outer(every).alias("x")).where("x is not null")  # outer: an inner one computes the spans twice
+    rows = rows.select("doc_id", "doc_name", "page_num", "text", F.struct("x.kind", "x.pos").alias("ord"), "x.source_type", "x.s.*")
+    tags = F.array_sort(F.array_distinct(F.concat(tag_question(F.col("question"), F.col("answer")), F.array("source_type"))))
+    return rows.select("doc_id", "doc_name", "page_num", "text", "ord", "question", F.col("answer").alias("answer_text"), F.col("start").alias("char_start"), F.col("end").alias("char_end"), tags.alias("tags"), "source_type", "heading", "constraint_", "metric")
+
+
+def _as_is(pages: DataFrame) -> DataFrame:
+    return pages
 
 
 def _span(question: Column, answer: Column, start: Column, end: Column, heading: Column, constraint: Column | None = None, metric: Column | None = None) -> Column:
@@ -130,45 +150,63 @@ def _span(question: Column, answer: Column, start: Column, end: Column, heading:
     return F.struct(question.alias("question"), answer.alias("answer"), start.alias("start"), end.alias("end"), heading.alias("heading"), (constraint if constraint is not None else empty).alias("constraint_"), (metric if metric is not None else empty).alias("metric"))
 
 
-def heading_paragraphs(pages: DataFrame, most: int = 10) -> DataFrame:
-    """A heading with the first paragraph that starts behind it: a forward as-of join within the page."""
-    heads = F.filter(line_spans(F.col("text")), lambda x: is_heading(x["text"]))
-    paras = paragraph_spans(F.col("text"))
-    own = pages.withColumn("_paras", paras).withColumn("_heads", heads)
+def _heading_kind(most: int = 10) -> Kind:
+    def helpers(pages: DataFrame) -> DataFrame:
+        return pages.withColumn("_heads", F.filter(line_spans(F.col("text")), lambda x: is_heading(x["text"]))).withColumn("_paras", F.when(F.size("_heads") > 0, paragraph_spans(F.col("text"))))
+
     pairs = F.filter(F.transform("_heads", lambda h: F.struct(h.alias("h"), F.try_element_at(F.filter(F.col("_paras"), lambda p: p["start"] > h["start"]), F.lit(1)).alias("p"))), lambda x: x["p"].isNotNull())
     made = F.transform(pairs, lambda x: _span(F.concat(F.lit("According to "), x["h"]["text"], F.lit(", what is described?")), x["p"]["text"], x["p"]["start"], x["p"]["end"], x["h"]["text"]))
-    return _harvested(own, F.slice(F.filter(made, lambda s: F.length(s["answer"]).between(*ANSWER_CHARS)), 1, most), "heading_para", 0)
+    return Kind("heading_para", 0, helpers, F.slice(F.filter(made, lambda s: F.length(s["answer"]).between(*ANSWER_CHARS)), 1, most))
 
 
-def definitions(pages: DataFrame) -> DataFrame:
+def _definition_kind() -> Kind:
     text = F.col("text")
-    own = pages.withColumn("_found", match_spans(text, DEFINITION))
     term = lambda m: T.strip(F.regexp_extract(m["text"], DEFINITION, 1))
-    made = F.transform("_found", lambda m: F.struct(m.alias("m"), sentence_from(text, m["start"]).alias("a")))
+    made = F.transform("_definitions", lambda m: F.struct(m.alias("m"), sentence_from(text, m["start"]).alias("a")))
     made = F.transform(made, lambda x: _span(F.concat(F.lit("What is "), term(x["m"]), F.lit("?")), x["a"], x["m"]["start"], x["m"]["start"] + F.length(x["a"]), term(x["m"])))
-    return _harvested(own, made, "definition", 1)
+    return Kind("definition", 1, lambda pages: pages.withColumn("_definitions", match_spans(text, DEFINITION)), made)
 
 
-def key_values(pages: DataFrame) -> DataFrame:
-    """Lines with a delimiter and a blank: the first two parts; the value's place is its first on the page."""
+def _table_kind() -> Kind:
     text = F.col("text")
     own = F.filter(F.transform(F.filter(T.lines(text), lambda x: T.strip(x).contains(" ") & T.strip(x).rlike("[:|;]")), lambda x: F.filter(F.transform(F.split(T.strip(x), r"[:;\|]", -1), T.strip), lambda p: p != "")), lambda p: F.size(p) >= 2)
-    at = lambda v: F.locate(v, text) - 1 if isinstance(v, str) else F.call_function("instr", text, v) - 1
-    made = F.transform(own, lambda p: _span(F.concat(F.lit("What is "), F.get(p, 0), F.lit("?")), F.get(p, 1), at(F.get(p, 1)), at(F.get(p, 1)) + F.length(F.get(p, 1)), F.get(p, 0), F.get(p, 1)))
-    return _harvested(pages, F.filter(made, lambda s: s["start"] >= 0), "table", 2)
+    at = lambda v: F.call_function("instr", text, v) - 1
+    made = F.transform("_parts", lambda p: _span(F.concat(F.lit("What is "), F.get(p, 0), F.lit("?")), F.get(p, 1), at(F.get(p, 1)), at(F.get(p, 1)) + F.length(F.get(p, 1)), F.get(p, 0), F.get(p, 1)))
+    return Kind("table", 2, lambda pages: pages.withColumn("_parts", own), F.filter(made, lambda s: s["start"] >= 0))
 
 
-def captions(pages: DataFrame) -> DataFrame:
+def _caption_kind() -> Kind:
     found = F.filter(line_spans(F.col("text")), lambda x: x["text"].rlike(CAPTION))
     noun = lambda x: F.get(F.split(x["text"], ":", -1), 0)
-    return _harvested(pages, F.transform(found, lambda x: _span(F.concat(F.lit("What does "), noun(x), F.lit(" describe?")), x["text"], x["start"], x["end"], noun(x))), "caption", 3)
+    return Kind("caption", 3, _as_is, F.transform(found, lambda x: _span(F.concat(F.lit("What does "), noun(x), F.lit(" describe?")), x["text"], x["start"], x["end"], noun(x))))
 
 
-def metrics(pages: DataFrame) -> DataFrame:
-    own = pages.withColumn("_found", match_spans(F.col("text"), METRIC))
+def _numeric_kind() -> Kind:
     unit = lambda m: F.regexp_extract(m["text"], METRIC, 1)
-    made = F.transform("_found", lambda m: _span(F.concat(F.lit("What is the "), unit(m), F.lit("?")), m["text"], m["start"], m["end"], F.lit("metric"), None, m["text"]))
-    return _harvested(own, made, "numeric", 4)
+    made = F.transform("_metrics", lambda m: _span(F.concat(F.lit("What is the "), unit(m), F.lit("?")), m["text"], m["start"], m["end"], F.lit("metric"), None, m["text"]))
+    return Kind("numeric", 4, lambda pages: pages.withColumn("_metrics", match_spans(F.col("text"), METRIC)), made)
+
+
+def heading_paragraphs(pages: DataFrame, most: int = 10) -> DataFrame:
+    """A heading with the first paragraph that starts behind it: a forward as-of join within the page."""
+    return _harvested(pages, _heading_kind(most))
+
+
+def definitions(pages: DataFrame) -> DataFrame:
+    return _harvested(pages, _definition_kind())
+
+
+def key_values(pages: DataFrame) -> DataFrame:
+    """Lines with a delimiter and a blank: the first two parts; the value's place is its first on the page."""
+    return _harvested(pages, _table_kind())
+
+
+def captions(pages: DataFrame) -> DataFrame:
+    return _harvested(pages, _caption_kind())
+
+
+def metrics(pages: DataFrame) -> DataFrame:
+    return _harvested(pages, _numeric_kind())
 
 
 def make_candidates(rows: DataFrame) -> DataFrame:
@@ -187,10 +225,15 @@ def dedupe(candidates: DataFrame, per_page: int = 10) -> DataFrame:
 
 
 def harvest(pages: DataFrame, per_page: int = 10) -> DataFrame:
-    every = heading_paragraphs(pages, per_page)
-    for more in (definitions(pages), key_values(pages), captions(pages), metrics(pages)):
-        every = every.unionByName(more)
-    return dedupe(make_candidates(every), per_page)
+    """Candidates of all kinds, without their pages' texts: each page is read and cut once, spans are checked there, and only candidates are shuffled."""
+    every = _harvested(pages, _heading_kind(per_page), _definition_kind(), _table_kind(), _caption_kind(), _numeric_kind())
+    return dedupe(make_candidates(every).drop("text"), per_page)
+
+
+def with_text(candidates: DataFrame, pages: DataFrame) -> DataFrame:
+    """candidates with their pages' texts and near, the heading above each; (doc_id, page_num) is the key of pages."""
+    rows = candidates.join(pages.select("doc_id", "page_num", "text"), ["doc_id", "page_num"])
+    return rows.withColumn("near", nearest_heading(F.col("text"), F.col("char_start")))
 
 
 # ---- slots and questions
@@ -321,15 +364,26 @@ def hash_order(seed: int, *keys: Column) -> Column:
     return F.sha1(F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in keys]))
 
 
+def hash_ranks(rows: DataFrame, by: str, h: Column) -> DataFrame:
+    """rows with _h and their place _k in its order within ``by``. Counted in two levels, ranges of the hash and places in them, so that a class with most of all rows is spread over tasks."""
+    rows = rows.withColumn("_h", h).withColumn("_range", F.substring("_h", 1, 3))  # 4 096 even ranges, as _h is a digest in hex
+    sizes = rows.groupBy(by, "_range").agg(F.count(F.lit(1)).alias("_size"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(Window.partitionBy(by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumnRenamed(by, "_by").drop("_size")
+    placed = rows.withColumn("_own", F.row_number().over(Window.partitionBy(by, "_range").orderBy("_h"))).withColumnRenamed("_range", "_r")
+    out = placed.join(before, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_r") == F.col("_range")))
+    return out.withColumn("_k", F.col("_before") + F.col("_own")).drop("_r", "_range", "_by", "_before", "_own")
+
+
 def wh_quota(rows: DataFrame, targets: dict[str, float] | None = None, seed: int = 42) -> DataFrame:
-    """rows(question, ...) with wh: equal questions count once; of each class at most ceil(total * share), in hash order; classes without a share stay whole, those of share 0 go."""
+    """rows(question, ...) with wh: equal questions count once; of each class at most ceil(total * share), in hash order; classes without a share stay whole, those of share 0 go. If none is left, the first question stays."""
     targets = WH_TARGETS if targets is None else targets
     once = rows.withColumn("_k", F.row_number().over(Window.partitionBy(F.lower("question")).orderBy(hash_order(seed, F.col("question"))))).where("_k = 1").drop("_k")
-    own = once.withColumn("wh", detect_wh(F.col("question")))
-    total = own.agg(F.count(F.lit(1)).alias("_n"))
+    own = written(once.withColumn("wh", detect_wh(F.col("question"))), "asked")
+    total = own.count()
     share = F.try_element_at(F.create_map(*[x for k, v in targets.items() for x in (F.lit(k), F.lit(float(v)))]), F.col("wh"))
-    ranked = own.crossJoin(F.broadcast(total)).withColumn("_k", F.row_number().over(Window.partitionBy("wh").orderBy(hash_order(seed, F.col("question")))))  # total is one row
-    return ranked.where(share.isNull() | (F.col("_k") <= F.ceil(F.col("_n") * share))).drop("_k", "_n")
+    ranked = hash_ranks(own, "wh", hash_order(seed, F.col("question")))
+    kept = ranked.where(share.isNull() | (F.col("_k") <= F.ceil(F.lit(total) * share))).drop("_k", "_h")
+    return kept if total == 0 or not kept.isEmpty() else own.orderBy(hash_order(seed, F.col("question"))).limit(1)
 
 
 def stratified_sample(rows: DataFrame, quotas: dict[str, float], total: int, key: str, tags: str = "tags", seed: int = 42) -> DataFrame:
@@ -338,8 +392,7 @@ def stratified_sample(rows: DataFrame, quotas: dict[str, float], total: int, key
     tag = F.try_element_at(F.filter(F.col(tags), lambda t: F.array_contains(ordered, t)), F.lit(1))
     want = F.try_element_at(F.create_map(*[x for k, v in quotas.items() for x in (F.lit(k), F.lit(math.ceil(v * total)))]), F.col("_tag"))
     place = F.array_position(ordered, F.col("_tag"))
-    h = hash_order(seed, F.col(key))
-    own = rows.withColumn("_tag", tag).withColumn("_h", h).withColumn("_k", F.row_number().over(Window.partitionBy("_tag").orderBy("_h")))
+    own = hash_ranks(rows.withColumn("_tag", tag), "_tag", hash_order(seed, F.col(key)))
     first = own.withColumn("_rank", F.when(F.col("_tag").isNotNull() & (F.col("_k") <= want), F.struct(F.lit(0).alias("later"), place.alias("place"), F.col("_h").alias("h"))).otherwise(F.struct(F.lit(1).alias("later"), F.lit(0).cast("bigint").alias("place"), F.col("_h").alias("h"))))
     return first.orderBy("_rank").limit(total).drop("_tag", "_h", "_k", "_rank")
 
@@ -372,9 +425,16 @@ def tfidf(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     return raw.join(size, key).select(key, "term", (F.col("w") / F.col("size")).alias("weight"))
 
 
+#: Vectors of so many terms in all are broadcast to the other side's tasks, which then sum up each pair at once.
+BROADCAST_TERMS = 1_000_000
+
+
 def cosine(a: DataFrame, b: DataFrame, key_a: str, key_b: str) -> DataFrame:
     """(key_a, key_b, cosine) of sparse vectors that share a term."""
-    return a.join(b.withColumnRenamed("weight", "w2"), "term").groupBy(key_a, key_b).agg(F.sum(F.col("weight") * F.col("w2")).alias("cosine"))
+    a = written(a, "asked")
+    if a.count() <= BROADCAST_TERMS:
+        a = F.broadcast(a)
+    return b.withColumnRenamed("weight", "w2").join(a, "term").groupBy(key_a, key_b).agg(F.sum(F.col("weight") * F.col("w2")).alias("cosine"))
 
 
 def mmr(texts: list[str], about: str, k: int, weight: float = 0.7) -> list[int]:
@@ -417,8 +477,8 @@ def mmr_select(rows: DataFrame, by: str, k: int, weight: float = 0.7) -> DataFra
 
 
 def expand(candidates: DataFrame, per_item: int = 3, keep: int = 4) -> DataFrame:
-    """Candidates with new questions from their tags' templates: quality rules, then diversity against the page. Rejected ones keep their reason (kept is false)."""
-    with_slots = candidates.withColumn("near", nearest_heading(F.col("text"), F.col("char_start"))).withColumn("slots", slots(F.col("question"), F.col("answer_text"), F.col("doc_id"), F.col("doc_name"), _or(F.col("heading"), F.col("near")), F.col("constraint_"), F.col("metric")))
+    """Candidates (with text and near, the heading above) with new questions from their tags' templates: quality rules, then diversity against the page. Rejected ones keep their reason (kept is false)."""
+    with_slots = candidates.withColumn("slots", slots(F.col("question"), F.col("answer_text"), F.col("doc_id"), F.col("doc_name"), _or(F.col("heading"), F.col("near")), F.col("constraint_"), F.col("metric")))
     asked = generate_questions(with_slots.select("cand_id", F.explode(F.array_distinct(F.concat("tags", F.array(F.lit("generic"))))).alias("tag"), "slots"), "cand_id", per_item)
     asked = asked.groupBy("cand_id", F.lower("question").alias("_q")).agg(F.min(F.struct("tag", "question")).alias("b")).select("cand_id", "b.*")
     rows = with_slots.withColumnRenamed("question", "first_question").join(asked, "cand_id")
@@ -430,21 +490,77 @@ def expand(candidates: DataFrame, per_item: int = 3, keep: int = 4) -> DataFrame
 
 def extract(pages: DataFrame) -> DataFrame:
     """Harvest and expand; of questions that are equal over all pages, the first stays."""
-    rows = expand(written(harvest(pages), "harvest")).where("kept")
+    rows = expand(written(with_text(harvest(pages), pages), "harvest")).where("kept")
     norm = F.array_join(T.plain_words(F.col("question")), " ")
     first = Window.partitionBy(norm).orderBy("doc_id", "page_num", "ord", "place")
     return rows.withColumn("_k", F.row_number().over(first)).where("_k = 1").drop("_k")
 
 
-def assemble(candidates: DataFrame, total: int = 100, quotas: dict[str, float] | None = None, seed: int = 42) -> DataFrame:
-    """Length bounds, dedupe, WH quotas, stratified sample, caps per document, span check; ids g-0000 on."""
-    rows = written(candidates.where(F.length("answer_text").between(*ANSWER_CHARS)), "candidates")
+def paraphrase(candidates: DataFrame, rewrite: Callable[[str, bool], list[str]] | None = None, most: int = 3, targets: dict[str, float] | None = None, seed: int = 42) -> tuple[DataFrame, DataFrame]:
+    """(accepted, decided): questions put in other words, for candidates (with text) whose span holds.
+
+    rewrite(question, may_start_with_what_is) gives new wordings; without one, each question stands for
+    itself. Wordings pass the quality rules; of a candidate's ``most`` diverse ones stay; of wordings that
+    are equal over all candidates the first stays, in order of document, page and place; targets bound the
+    WH classes. Changed ones get the tag ``paraphrase``. decided has every wording with its reason.
+    """
+    ship(candidates.sparkSession)
+    ok = F.substring("text", F.col("char_start") + 1, F.col("char_end") - F.col("char_start")) == F.col("answer_text")
+    rows = candidates.where(ok).withColumnRenamed("question", "first_question").withColumn("slots", slots(F.col("first_question"), F.col("answer_text"), F.col("doc_id"), F.col("doc_name"), _or(F.col("heading"), F.col("near")), F.col("constraint_"), F.col("metric")))
+    if rewrite is None:
+        asked = rows.withColumn("wording", F.struct(F.lit(0).alias("pos"), F.col("first_question").alias("question")))
+    else:
+        @F.pandas_udf("array<string>")
+        def wordings(q: pd.Series, formal: pd.Series) -> pd.Series:
+            return pd.Series([[w.strip() for w in rewrite(x, bool(f)) if w.strip()] or [x] for x, f in zip(q, formal, strict=True)])
+
+        own = wordings(F.col("first_question"), F.array_contains("tags", "definition"))
+        asked = rows.withColumn("own", own).withColumn("wording", F.explode(F.transform("own", lambda q, i: F.struct(i.alias("pos"), q.alias("question"))))).drop("own")
+    asked = asked.select("*", "wording.*").drop("wording")
+    decided = written(asked.withColumn("reason", reject_reason(F.col("question"), F.col("answer_text"), F.col("slots"), F.col("doc_name"), F.col("heading"))), "wordings")
+    good = decided.where("reason is null")
+    kept = mmr_select(good.select("cand_id", "question", F.col("text").alias("about")), "cand_id", most).select("cand_id", "question")
+    first = Window.partitionBy(F.lower(T.strip(F.col("question")))).orderBy("doc_id", "page_num", "ord", "pos")
+    out = good.join(kept, ["cand_id", "question"], "left_semi").withColumn("_k", F.row_number().over(first)).where("_k = 1").drop("_k")
+    changed = F.col("question") != F.col("first_question")
+    out = out.withColumn("tags", F.when(changed, F.array_sort(F.array_union("tags", F.array(F.lit("paraphrase"))))).otherwise(F.col("tags"))).withColumn("wh", detect_wh(F.col("question")))
+    out = out.drop("first_question", "pos", "reason")
+    if targets:
+        out = written(out, "accepted")
+        out = wh_targets_semi(out, wh_quota(out.select("question"), targets, seed))
+    return out, decided
+
+
+def paraphrase_stats(accepted: DataFrame, decided: DataFrame) -> DataFrame:
+    """(kind, name, n): the total, accepted questions by WH class, rejected wordings by reason."""
+    count = lambda rows, kind, name: rows.groupBy(F.lit(kind).alias("kind"), name.alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    total = accepted.agg(F.count(F.lit(1)).alias("n")).select(F.lit("all").alias("kind"), F.lit("total").alias("name"), "n")
+    return total.unionByName(count(accepted, "wh", F.col("wh"))).unionByName(count(decided.where("reason is not null"), "rejected", F.col("reason")))
+
+
+def assemble(candidates: DataFrame, total: int = 100, quotas: dict[str, float] | None = None, seed: int = 42, paraphrases: DataFrame | None = None, chunks: DataFrame | None = None) -> DataFrame:
+    """Length bounds, dedupe, WH quotas, stratified sample, caps per document, span check; ids g-0000 on.
+
+    candidates have their pages' texts. paraphrases, rows of paraphrase(), are candidates too. chunks
+    (chunk_id, doc_id, page_start, text) give hard negatives: the best chunks elsewhere than on the answer's page.
+    """
+    rows = candidates
+    if paraphrases is not None:
+        rows = rows.unionByName(paraphrases.select(rows.columns))
+    rows = written(rows.where(F.length("answer_text").between(*ANSWER_CHARS)), "candidates")
     rows = wh_targets_semi(dedupe(rows), wh_quota(rows.select("question"), seed=seed))
     rows = doc_caps(stratified_sample(rows, quotas or TAG_QUOTAS, total, "question", seed=seed))
     number = F.row_number().over(Window.orderBy("doc_id", "page_num", "ord", "question")) - 1  # total rows at most
     rows = rows.withColumn("gold_id", F.format_string("g-%04d", number))
     ok = F.substring("text", F.col("char_start") + 1, F.col("char_end") - F.col("char_start")) == F.col("answer_text")
-    return rows.where(ok).withColumn("evidence", F.array(F.struct("doc_id", F.col("page_num").alias("page"), "char_start", "char_end")))
+    rows = rows.where(ok).withColumn("evidence", F.array(F.struct("doc_id", F.col("page_num").alias("page"), "char_start", "char_end")))
+    none = F.array().cast("array<string>")
+    if chunks is None:
+        return rows.withColumn("hard_negative_ids", none)
+    rows = written(rows, "gold")
+    found = lexical.hard_negatives(chunks, rows.select(F.col("gold_id").alias("id"), "question", "answer_text", "doc_id", F.col("page_num").alias("page_start")))
+    found = found.select(F.col("id").alias("gold_id"), F.col("hard_negative_ids").cast("array<string>").alias("hard_negative_ids"))
+    return rows.join(found, "gold_id", "left").withColumn("hard_negative_ids", F.coalesce("hard_negative_ids", none))
 
 
 def summary(rows: DataFrame) -> DataFrame:

@@ -111,10 +111,10 @@ class Engine:
                 notices.append(f"embedder failed: {e}")
                 continue
             ready = written(vector.embed(chunks, "text", embedder), "index")
-            self.indexes = Indexes(ready, lexical.build(ready, "chunk_id", keep=True), True, print_, embedder, Cache(config.cache_size), notices)
+            self.indexes = Indexes(ready, lexical.build(ready, "chunk_id"), True, print_, embedder, Cache(config.cache_size), notices)
             return self.indexes
         ready = written(chunks.withColumn("embedding", F.lit(None).cast("array<float>")), "index")
-        self.indexes = Indexes(ready, lexical.build(ready, "chunk_id", keep=True), False, print_, chunking.hashed_embedding, Cache(config.cache_size), notices)
+        self.indexes = Indexes(ready, lexical.build(ready, "chunk_id"), False, print_, chunking.hashed_embedding, Cache(config.cache_size), notices)
         return self.indexes
 
     def engine_for(self, asked: str) -> tuple[str, str | None]:

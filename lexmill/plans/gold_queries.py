@@ -12,7 +12,7 @@ from lexmill.plans.registry import query, table
 PAGE_SQL = r"""page AS (SELECT doc_id AS page_num, source AS doc_id, 'Paper ' || source AS doc_name, 'OVERVIEW ' || upper(lang) || E'\n\n' || replace(text, E'\n', E'\n\n')
     || E'\n\nTable ' || (1 + doc_id % 9) || ': ' || source || E' summary\nsize: ' || (doc_id % 900) || ' gb | NASA limit; ' || (1 + doc_id % 7) || ' days' AS text FROM documents)"""
 QUESTION_SQL = r"""asked AS (SELECT conv_id, turn, CASE (conv_id + turn) % 13 WHEN 0 THEN 'How many ' WHEN 1 THEN 'How much ' WHEN 2 THEN 'How ' WHEN 3 THEN 'Why ' WHEN 4 THEN 'Which ' WHEN 5 THEN 'Who ' WHEN 6 THEN 'When '
-    WHEN 7 THEN 'Where ' WHEN 8 THEN 'What is ' WHEN 9 THEN 'Does ' WHEN 10 THEN 'Its ' WHEN 11 THEN 'Tell ' ELSE '' END || replace(left(text, 10 + turn * 40), E'\n', ' ') || CASE WHEN turn % 4 = 3 THEN '.' ELSE '?' END AS question, text, role FROM conversations)"""
+    WHEN 7 THEN 'Where ' WHEN 8 THEN 'What is ' WHEN 9 THEN 'Does ' WHEN 10 THEN 'Its ' WHEN 11 THEN 'Tell ' ELSE '' END || replace(text, E'\n', ' ') || CASE WHEN turn % 4 = 3 THEN '.' ELSE '?' END AS question, text, role FROM conversations)"""
 
 
 def gold_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,7 +26,7 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = (F.col("conv_id") + F.col("turn")) % 13
     heads = ("How many ", "How much ", "How ", "Why ", "Which ", "Who ", "When ", "Where ", "What is ", "Does ", "Its ", "Tell ")
     head = F.coalesce(F.get(F.array(*map(F.lit, heads)), k.cast("int")), F.lit(""))
-    q = F.concat(head, F.replace(F.left("text", (10 + F.col("turn") * 40).cast("int")), F.lit("\n"), F.lit(" ")), F.when(F.col("turn") % 4 == 3, ".").otherwise("?"))
+    q = F.concat(head, F.replace("text", F.lit("\n"), F.lit(" ")), F.when(F.col("turn") % 4 == 3, ".").otherwise("?"))
     return own.select("conv_id", "turn", q.alias("question"), "text", "role")
 
 
@@ -95,13 +95,13 @@ CONTENT = f"list_filter(regexp_extract_all(lower({{}}), '[a-z0-9]+'), lambda x:
 REASON_SQL = rf"""reasons AS (SELECT conv_id, turn, CASE WHEN starts_with(q, 'what is ') OR starts_with(q, 'what’s ') THEN 'banned_opening'
     WHEN regexp_extract(q, '[a-z0-9]+') IN ('it','its','they','their','this','that','these','those', '') THEN 'vague_pronoun'
     WHEN NOT (ends_with(q, '?') AND length({strip_sql('question')}) BETWEEN 8 AND 160 AND len(regexp_extract_all(q, '[^\s\pZ]+')) >= 3) THEN 'readability'
-    WHEN len(list_intersect({CONTENT.format('question')}, {CONTENT.format("role || ' ' || left(text, 30)")})) = 0 THEN 'entity_anchor' END AS reason FROM wh)"""
+    WHEN len(list_intersect({CONTENT.format('question')}, {CONTENT.format("role || ' ' || text")})) = 0 THEN 'entity_anchor' END AS reason FROM wh)"""
 
 
 def _reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = questions(spark, sf_dir)
     empty = F.create_map(F.lit("role"), F.col("role"))
-    return own.select("conv_id", "turn", G.reject_reason(F.col("question"), F.left("text", F.lit(30)), empty, F.lit(""), F.lit("")).alias("reason"))
+    return own.select("conv_id", "turn", G.reject_reason(F.col("question"), F.col("text"), empty, F.lit(""), F.lit("")).alias("reason"))
 
 
 @query(f"WITH {Q_SQL}, {REASON_SQL} SELECT conv_id, turn, reason FROM reasons")
@@ -150,14 +150,16 @@ def wh_target_semijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.wh_targets_semi(own, own.where("ord % 10 = 0")).select("ord", "question")
 
 
+_WORD = r"\p{L}\p{N}_"
+DEFINITION_RE2 = rf"(?i)(?:(?:^|[^{_WORD}])[{_WORD}][{_WORD}\-/ ]{{1,69}}?|[{_WORD}][\-/ ][{_WORD}\-/ ]{{1,69}}?)(?:\s+is|\s+are|\s+refers to|\s+means|\s+defined as)(?:[^{_WORD}]|$)"
 TAGS_SQL = rf"""list_filter([CASE WHEN regexp_matches(a, '\b[A-Z]{{3,}}\b') THEN 'acronym' END, CASE WHEN regexp_matches(question, '(?i)^(Figure|Fig\.|Table)\s+\d+[\s:\-.]') THEN 'caption' END,
-    CASE WHEN regexp_matches(lower(a), '{METRIC_RE2}') THEN 'numeric' END, CASE WHEN regexp_matches(a, '[,;:\t|]') THEN 'table' END, CASE WHEN lower(question) LIKE 'why%' OR lower(question) LIKE 'how%' THEN 'whyhow' END], lambda x: x IS NOT NULL)"""
+    CASE WHEN regexp_matches(a, '{DEFINITION_RE2}') THEN 'definition' END, CASE WHEN regexp_matches(lower(a), '{METRIC_RE2}') THEN 'numeric' END, CASE WHEN regexp_matches(a, '[,;:\t|]') THEN 'table' END, CASE WHEN lower(question) LIKE 'why%' OR lower(question) LIKE 'how%' THEN 'whyhow' END], lambda x: x IS NOT NULL)"""
 
 
 @query(f"WITH {QUESTION_SQL}, t AS (SELECT unnest({TAGS_SQL}) AS tag FROM (SELECT question, text AS a FROM asked)) SELECT tag, count(*) AS n FROM t GROUP BY tag")
 def tag_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = questions(spark, sf_dir).select(F.explode(G.tag_question(F.col("question"), F.col("text"))).alias("tag"))
-    return own.where("tag <> 'definition'").groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
+    return own.groupBy("tag").agg(F.count(F.lit(1)).alias("n"))
 
 
 TF_SQL = f"""dw AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]{{2,}}')) AS term FROM documents) WHERE term NOT IN ({_STOP}) GROUP BY ALL),
@@ -165,16 +167,9 @@ TF_SQL = f"""dw AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unn
     vec AS (SELECT doc_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM raw)"""
 
 
-@query(f"WITH {TF_SQL} SELECT a.doc_id AS query_id, b.doc_id AS doc_id, round(sum(a.w * b.w), 6) AS cosine FROM vec a JOIN vec b USING (term) WHERE a.doc_id % 20 = 0 AND b.doc_id % 20 = 10 GROUP BY ALL")
+@query(f"WITH {TF_SQL} SELECT a.doc_id AS query_id, b.doc_id AS doc_id, round(sum(a.w * b.w), 6) AS cosine FROM vec a JOIN vec b USING (term) WHERE a.doc_id % 20 = 0 GROUP BY ALL")
 def tfidf_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = G.tfidf(table(spark, sf_dir, "documents"), "doc_id")
-    asked = vectors.where("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id")
-    return G.cosine(asked, vectors.where("doc_id % 20 = 10"), "query_id", "doc_id").withColumn("cosine", F.round("cosine", 6))
-
-
-@query()
-def tfidf_cosine_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same queries against all documents; the SQL of tfidf_cosine has one in twenty of them."""
+    """Queries, the ids divisible by 20, against all documents."""
     vectors = G.tfidf(table(spark, sf_dir, "documents"), "doc_id")
     asked = vectors.where("doc_id % 20 = 0").withColumnRenamed("doc_id", "query_id")
     return G.cosine(asked, vectors, "query_id", "doc_id").withColumn("cosine", F.round("cosine", 6))
@@ -214,8 +209,24 @@ def extract_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def assemble_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = G.assemble(G.harvest(gold_pages(spark, sf_dir)))
-    return rows.select("gold_id", "doc_id", "page_num", "question", "char_start", "char_end", F.array_join("tags", ",").alias("tags"))
+    pages = gold_pages(spark, sf_dir)
+    chunks = pages.select(F.col("page_num").cast("string").alias("chunk_id"), "doc_id", F.col("page_num").alias("page_start"), "text")
+    rows = G.assemble(G.with_text(G.harvest(pages), pages), chunks=chunks)
+    return rows.select("gold_id", "doc_id", "page_num", "question", "char_start", "char_end", F.array_join("tags", ",").alias("tags"), F.array_join("hard_negative_ids", ",").alias("hard_negatives"))
+
+
+@query()
+def paraphrase(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Harvested candidates, each question standing for itself."""
+    pages = gold_pages(spark, sf_dir)
+    accepted, _ = G.paraphrase(G.with_text(G.harvest(pages), pages), targets=G.WH_TARGETS)
+    return accepted.select("cand_id", "doc_id", "page_num", "question", "wh", F.array_join("tags", ",").alias("tags"))
+
+
+@query()
+def paraphrase_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = gold_pages(spark, sf_dir)
+    return G.paraphrase_stats(*G.paraphrase(G.with_text(G.harvest(pages), pages)))
 
 
 @query(r"""WITH c AS (SELECT doc_id, lang, text FROM documents WHERE length(text) BETWEEN 5 AND 300) SELECT doc_id, length(text) AS n FROM c""")

@@ -19,8 +19,8 @@ def bm25_sql(chunks: str, queries: str, word: str = WORD) -> str:
     """CTEs up to bm(q, id, score); chunks and queries: SELECTs of (id, text) and (q, text)."""
     return f"""cw AS (SELECT id, regexp_extract_all(lower(text), {word}) AS w FROM ({chunks})), dl AS (SELECT id, len(w) AS dl FROM cw),
     size AS (SELECT count(*) AS n, avg(dl)::DOUBLE AS avgdl FROM dl), post AS (SELECT id, term, count(*) AS tf FROM (SELECT id, unnest(w) AS term FROM cw) GROUP BY ALL),
-    df AS (SELECT term, count(*) AS df FROM post GROUP BY term), raw AS (SELECT term, df, ln(n - df + 0.5::DOUBLE) - ln(df + 0.5::DOUBLE) AS raw FROM df, size),
-    idf AS (SELECT term, df, CASE WHEN raw < 0 THEN 0.25::DOUBLE * (SELECT avg(raw) FROM raw) ELSE raw END AS idf FROM raw),
+    df AS (SELECT term, count(*) AS df FROM post GROUP BY term), own AS (SELECT term, df, ln(n - df + 0.5::DOUBLE) - ln(df + 0.5::DOUBLE) AS plain FROM df, size), mean AS (SELECT avg(plain) AS mean FROM own),
+    idf AS (SELECT term, df, CASE WHEN plain < 0 THEN 0.25::DOUBLE * mean ELSE plain END AS idf FROM own, mean),
     qw AS (SELECT q, term, count(*) AS times FROM (SELECT q, unnest(regexp_extract_all(lower(text), {word})) AS term FROM ({queries})) GROUP BY ALL),
     bm AS (SELECT q, id, sum(times * idf * tf * 2.5::DOUBLE / (tf + 1.5::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * dl / avgdl))) AS score
            FROM qw JOIN idf USING (term) JOIN post USING (term) JOIN dl USING (id), size GROUP BY q, id)"""
@@ -38,8 +38,7 @@ def bm25_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {bm25_sql(DOCS, ITEMS)} SELECT term, df, round(idf, 6) AS idf FROM idf")
 def bm25_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    return L.term_stats(L.postings(docs), L.corpus(docs)).select("term", "df", F.round("idf", 6).alias("idf"))
+    return L.build(table(spark, sf_dir, "documents")).stats.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 @query(f"WITH {bm25_sql(DOCS, ITEMS)}, r AS (SELECT *, {TOP} AS rank FROM bm) SELECT q AS item_id, id AS doc_id, round(score, 6) AS score, rank FROM r WHERE rank <= 10")
@@ -59,15 +58,15 @@ def bm25_retrieval_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages against documents: scores, at most two documents a source, the ten best, and whether one that holds the passage is among them."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = L.scores(docs, items).join(docs.select("doc_id", "source"), "doc_id")
-    ranked = U.with_ranks(found, [F.desc(F.round("score", 9)), F.col("doc_id")], "item_id")
-    best = U.with_ranks(U.per_doc_cap(ranked, 2, "source", "item_id"), [F.desc(F.round("score", 9)), F.col("doc_id")], "item_id").where("rank <= 10")
+    order = [F.desc(F.round("score", 9)), F.col("doc_id")]
+    best = U.with_ranks(U.per_doc_cap(found, 2, "source", "item_id", order), order, "item_id").where("rank <= 10")
     texts = best.join(docs.select("doc_id", F.col("text").alias("d_text")), "doc_id").join(items.select("item_id", F.col("text").alias("i_text")), "item_id")
     first = F.min(F.when(F.contains("d_text", "i_text"), F.col("rank")))
     out = texts.groupBy("item_id").agg(first.alias("first"))
     return out.select("item_id", F.col("first").isNotNull().cast("int").alias("hit_at_10"), (F.coalesce("first", F.lit(99)) <= 5).cast("int").alias("hit_at_5"), F.round(F.coalesce(1.0 / F.col("first"), F.lit(0.0)), 6).alias("mrr_at_10"))
 
 
-NEG_CHUNKS, NEG_GOLD = "SELECT doc_id AS id, text FROM documents", "SELECT doc_id AS q, left(text, 80) || ' ' || source AS text FROM documents WHERE doc_id % 20 = 0"
+NEG_CHUNKS, NEG_GOLD = "SELECT doc_id AS id, text FROM documents", "SELECT doc_id AS q, text || ' ' || source AS text FROM documents WHERE doc_id % 20 = 0"
 
 
 @query(rf"""WITH {bm25_sql(NEG_CHUNKS, NEG_GOLD, "'[a-z0-9]+'")}, o AS (SELECT bm.*, {TOP} AS rank FROM bm JOIN documents c ON c.doc_id = id JOIN documents g ON g.doc_id = q WHERE NOT (c.source = g.source AND c.n_chars = g.n_chars))
@@ -75,7 +74,7 @@ NEG_CHUNKS, NEG_GOLD = "SELECT doc_id AS id, text FROM documents", "SELECT doc_i
 def bm25_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     chunks = docs.select(F.col("doc_id").alias("chunk_id"), F.col("source").alias("doc_id"), F.col("n_chars").alias("page_start"), "text")
-    gold = docs.where("doc_id % 20 = 0").select(F.col("doc_id").alias("id"), F.left("text", F.lit(80)).alias("question"), F.col("source").alias("answer_text"), F.col("source").alias("doc_id"), F.col("n_chars").alias("page_start"))
+    gold = docs.where("doc_id % 20 = 0").select(F.col("doc_id").alias("id"), F.col("text").alias("question"), F.col("source").alias("answer_text"), F.col("source").alias("doc_id"), F.col("n_chars").alias("page_start"))
     out = L.hard_negatives(chunks, gold)
     return out.select("id", F.array_join(F.transform("hard_negative_ids", lambda x: x.cast("string")), ",").alias("hard_negatives"))
 

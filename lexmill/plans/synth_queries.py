@@ -45,7 +45,7 @@ def person_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions(spark, sf_dir).select("conv_id", "turn", S.speaks_in_person(F.concat("question", more)).alias("in_person"))
 
 
-@query(f"""WITH {Q_SQL}, v AS (SELECT conv_id, turn, question AS q, CASE turn % 4 WHEN 0 THEN 'Multi hop' WHEN 1 THEN 'numeric' WHEN 2 THEN 'cause_effect' ELSE 'other' END AS kind, left(text, 20 + turn * 90) AS a, conv_id % 6 = 0 AS bare FROM wh),
+@query(f"""WITH {Q_SQL}, v AS (SELECT conv_id, turn, question AS q, CASE turn % 4 WHEN 0 THEN 'Multi hop' WHEN 1 THEN 'numeric' WHEN 2 THEN 'cause_effect' ELSE 'other' END AS kind, text AS a, conv_id % 6 = 0 AS bare FROM wh),
     p AS (SELECT *, regexp_extract_all(lower(q), '[a-z]+(?:''[a-z]+)?') AS w FROM v)
     SELECT conv_id, turn, CASE WHEN length(trim(q)) > 320 OR trim(q) = '' THEN 'question_length' WHEN NOT ends_with(trim(q), '?') OR length(q) - length(replace(q, '?', '')) <> 1 THEN 'question_mark'
         WHEN len(list_intersect(w, [{", ".join("'" + x.replace("'", "''") + "'" for x in S.FIRST_PERSON + S.SECOND_PERSON)}])) > 0 THEN 'person' WHEN kind = 'other' THEN 'type' WHEN length(a) > 300 THEN 'answer_length' WHEN bare THEN 'evidence' END AS reason FROM p""")
@@ -53,8 +53,8 @@ def synth_json_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items through JSON: written, fenced, parsed and checked."""
     k = F.col("turn") % 4
     kind = F.when(k == 0, "Multi hop").when(k == 1, "numeric").when(k == 2, "cause_effect").otherwise("other")
-    evidence = F.when(F.col("conv_id") % 6 == 0, F.array().cast("array<string>")).otherwise(F.array(F.left("text", F.lit(20))))
-    item = F.struct("question", F.lit("what").alias("wh"), kind.alias("type"), F.left("text", (20 + F.col("turn") * 90).cast("int")).alias("answer_text"), evidence.alias("evidence"))
+    evidence = F.when(F.col("conv_id") % 6 == 0, F.array().cast("array<string>")).otherwise(F.array("text"))
+    item = F.struct("question", F.lit("what").alias("wh"), kind.alias("type"), F.col("text").alias("answer_text"), evidence.alias("evidence"))
     replies = questions(spark, sf_dir).select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("window_id"), F.concat(F.lit("```json\n"), F.to_json(F.array(item)), F.lit("\n```")).alias("response"))
     rows = S.parse_items(replies)
     key = F.split("window_id", ":")

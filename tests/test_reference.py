@@ -258,7 +258,7 @@ def test_wh_quota_mmr_equals_brute_force(spark):
     assert sorted(x.key for x in got if x.wh == "why") == ["w0", "w1", "w2"]
 
 
-def test_tfidf_cosine_whole_equals_brute_force(spark, tmp_path):
+def test_tfidf_cosine_equals_brute_force(spark, tmp_path):
     r = random.Random(8)
     own = {i: " ".join(r.choice(["valve", "pump", "inlet", "outlet", "seal", "rotor", "the", "x"]) for _ in range(r.randint(1, 6))) for i in range(45)}
     spark.createDataFrame(list(own.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
@@ -267,7 +267,7 @@ def test_tfidf_cosine_whole_equals_brute_force(spark, tmp_path):
     raw = {i: {w: c * (math.log((1 + len(own)) / (1 + df[w])) + 1) for w, c in b.items()} for i, b in bags.items()}
     unit = {i: {w: x / math.sqrt(sum(y * y for y in v.values())) for w, x in v.items()} for i, v in raw.items()}
     want = {(q, i): sum(x * unit[i].get(w, 0.0) for w, x in unit[q].items()) for q in (0, 20, 40) for i in own if unit[q].keys() & unit[i].keys()}
-    got = {(x.query_id, x.doc_id): x.cosine for x in gold_queries.tfidf_cosine_whole(spark, str(tmp_path)).collect()}
+    got = {(x.query_id, x.doc_id): x.cosine for x in gold_queries.tfidf_cosine(spark, str(tmp_path)).collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 2e-6 for k in want)
 
 
