@@ -28,4 +28,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def load_all() -> None:
     """Imports the modules that register queries."""
-    from lexmill.plans import chunk_queries, eval_queries, gold_queries, page_queries, retrieval_queries, synth_queries  # noqa: F401
+    from lexmill.plans import chunk_queries, eval_queries, gold_queries, io_queries, page_queries, retrieval_queries, synth_queries  # noqa: F401

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.functions.shipping import ship
+from lexmill.functions.store import written
 from lexmill.operators import pages as P
 
 PARSED_DOC = "doc_id string, doc_name string, pages array<struct<page_num:int,text:string>>"
@@ -28,23 +29,51 @@ def text_pages(spark: SparkSession, paths: list[str] | str, max_pages: int = 800
 
 
 def _pages(files: DataFrame, max_pages: int) -> DataFrame:
+    """(path, doc_id, file_name, page_num, text, truncated) of files with their page texts."""
     name = F.element_at(F.split("path", "/"), -1)
     doc = P.doc_id(name, F.col("length"), F.unix_seconds("modificationTime"))
-    rows = files.select(doc.alias("doc_id"), name.alias("file_name"), F.size("pages").alias("n_pages"), F.posexplode(F.slice("pages", 1, max(max_pages, 1))).alias("at", "text"))
-    return rows.where(F.lit(max_pages > 0)).select("doc_id", "file_name", (F.col("at") + 1).cast("long").alias("page_num"), "text", (F.col("n_pages") > max_pages).alias("truncated"))
+    rows = files.select("path", doc.alias("doc_id"), name.alias("file_name"), F.size("pages").alias("n_pages"), F.posexplode(F.slice("pages", 1, max(max_pages, 1))).alias("at", "text"))
+    return rows.where(F.lit(max_pages > 0)).select("path", "doc_id", "file_name", (F.col("at") + 1).cast("long").alias("page_num"), "text", (F.col("n_pages") > max_pages).alias("truncated"))
 
 
-def pdf_pages(spark: SparkSession, paths: list[str] | str, max_pages: int = 800, extract: Callable[[bytes, int], list[str]] | None = None) -> DataFrame:
-    """PDF files through ``extract`` (content, max_pages) -> page texts; pypdf where it is installed. A page that cannot be read is empty, an encrypted file is tried with an empty password."""
+def _extracted(spark: SparkSession, paths: list[str] | str, max_pages: int, fetch: Callable[[bytes, int], list], kind: str) -> DataFrame:
+    """(path, length, modificationTime, found, error): what ``fetch`` gets from each file, or why it failed; one broken file stops no other."""
     ship(spark)
-    fetch = extract or _pypdf
+
+    def tried(content: bytes) -> tuple[list, str | None]:
+        try:
+            return list(fetch(content, max_pages)), None
+        except Exception as e:  # an extractor can raise anything; the file is reported
+            return [], f"{type(e).__name__}: {e}"
 
     def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            yield f.drop(columns=["content"]).assign(pages=[fetch(bytes(c), max_pages) for c in f["content"]])
+            found = [tried(bytes(c)) for c in f["content"]]
+            yield f.drop(columns=["content"]).assign(found=[x for x, _ in found], error=[e for _, e in found])
 
     own = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime", "content")
-    return _pages(own.mapInPandas(each, "path string, length long, modificationTime timestamp, pages array<string>"), max_pages)
+    return own.mapInPandas(each, f"path string, length long, modificationTime timestamp, found {kind}, error string")
+
+
+def pdf_files(spark: SparkSession, paths: list[str] | str, max_pages: int = 800, extract: Callable[[bytes, int], list[str]] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(pages, errors) of PDF files through ``extract`` (content, max_pages) -> page texts; pypdf where it is installed. errors: (path, error)."""
+    own = written(_extracted(spark, paths, max_pages, extract or _pypdf, "array<string>"), "extracted")
+    return _pages(own.where("error is null").withColumn("pages", F.col("found")), max_pages), own.where("error is not null").select("path", "error")
+
+
+def pdf_pages(spark: SparkSession, paths: list[str] | str, max_pages: int = 800, extract: Callable[[bytes, int], list[str]] | None = None) -> DataFrame:
+    """The pages of pdf_files(). A page that cannot be read is empty, an encrypted file is tried with an empty password, a broken file has none."""
+    return pdf_files(spark, paths, max_pages, extract)[0]
+
+
+def layout_pages(spark: SparkSession, paths: list[str] | str, max_pages: int, extract: Callable[[bytes, int], list[tuple[int | None, str]]]) -> tuple[DataFrame, DataFrame]:
+    """(pages, errors) of files through a layout extractor: ``extract`` (content, max_pages) -> elements (page number or None, text) in reading order."""
+    fetch = lambda content, n: [{"page_number": p, "text": t} for p, t in extract(content, n)]
+    own = written(_extracted(spark, paths, max_pages, fetch, "array<struct<page_number:int,text:string>>"), "extracted")
+    elements = own.where("error is null").select(F.col("path").alias("doc_id"), F.posexplode("found").alias("ord", "e")).select("doc_id", "ord", "e.page_number", "e.text")
+    texts = P.regroup_elements(elements).groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("page_num", "text"))), lambda x: x["text"]).alias("pages"))
+    files = own.join(texts.withColumnRenamed("doc_id", "path"), "path")
+    return _pages(files, max_pages), own.where("error is not null").select("path", "error")
 
 
 def _pypdf(content: bytes, max_pages: int) -> list[str]:
@@ -65,31 +94,40 @@ def _pypdf(content: bytes, max_pages: int) -> list[str]:
 
 
 def plan_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(file_ord, path, suffix, reject): rejects are missing files and unknown suffixes; no exception is raised for them."""
+    """(file_ord, path, full, suffix, reject): full is the path as readers name it; rejects are missing files and unknown suffixes; no exception is raised for them."""
     rows = []
     for i, p in enumerate(paths):
         suffix = os.path.splitext(p)[1].lower().lstrip(".")
         hpath = spark._jvm.org.apache.hadoop.fs.Path(p)
-        there = hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)
-        rows.append((i, p, suffix, "missing" if not there else None if suffix in SUFFIXES else "unsupported"))
-    return spark.createDataFrame(rows, "file_ord long, path string, suffix string, reject string")
+        system = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        there, full = system.exists(hpath), system.makeQualified(hpath).toString()
+        rows.append((i, p, full, suffix, "missing" if not there else None if suffix in SUFFIXES else "unsupported"))
+    return spark.createDataFrame(rows, "file_ord long, path string, full string, suffix string, reject string")
 
 
 def read_documents(spark: SparkSession, paths: list[str], per_doc: int = 800, total: int = 1200, pdf: Callable[[bytes, int], list[str]] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(pages, report) of many files under both page budgets, in the order given. The paths are a list that the caller typed, so it is planned on the driver."""
+    """(pages, report) of many files under both page budgets, in the order given. The paths are a list that the caller typed, so it is planned on the driver.
+
+    Files of one name in different folders are files of their own. What is missing, unknown or broken is in skipped_docs.
+    """
     plan = plan_files(spark, paths).collect()
     good = [r for r in plan if not r.reject]
     plain, pdfs = [r.path for r in good if r.suffix != "pdf"], [r.path for r in good if r.suffix == "pdf"]
-    empty = spark.createDataFrame([], "doc_id string, file_name string, page_num long, text string, truncated boolean")
-    raw = text_pages(spark, plain, per_doc) if plain else empty
+    raw = spark.createDataFrame([], "path string, doc_id string, file_name string, page_num long, text string, truncated boolean")
+    bad = [f"{os.path.basename(r.path)}: {r.reject}" for r in plan if r.reject]
+    if plain:
+        raw = raw.unionByName(text_pages(spark, plain, per_doc))
     if pdfs:
-        raw = raw.unionByName(pdf_pages(spark, pdfs, per_doc, pdf))
-    order = spark.createDataFrame([(r.file_ord, os.path.basename(r.path)) for r in good], "file_ord long, file_name string")
-    sizes = raw.groupBy("file_name").agg(F.count(F.lit(1)).alias("planned_pages"))
-    budget = P.page_budget(order.join(sizes, "file_name", "left").fillna(0, ["planned_pages"]), per_doc, total)
-    pages = raw.drop("truncated").join(budget.select("file_name", "file_ord", "allowed", "truncated"), "file_name").where(F.col("page_num") <= F.col("allowed")).drop("allowed")
+        pages, errors = pdf_files(spark, pdfs, per_doc, pdf)
+        raw = raw.unionByName(pages)
+        broken = {r.path: r.error for r in errors.collect()}  # some of the typed paths
+        bad += [f"{os.path.basename(r.path)}: {broken[r.full]}" for r in good if r.full in broken]
+        good = [r for r in good if r.full not in broken]
+    order = spark.createDataFrame([(r.file_ord, r.full, os.path.basename(r.path)) for r in good], "file_ord long, path string, file_name string")
+    sizes = raw.groupBy("path").agg(F.count(F.lit(1)).alias("planned_pages"))
+    budget = P.page_budget(order.join(sizes, "path", "left").fillna(0, ["planned_pages"]), per_doc, total)
+    pages = raw.drop("truncated").join(budget.select("path", "file_ord", "allowed", "truncated"), "path").where(F.col("page_num") <= F.col("allowed")).drop("allowed", "path")
     report = P.run_report(budget)
-    bad = [f"{os.path.basename(r.path)}: {r.reject}" for r in plan if r.reject]
     return pages, report.withColumn("skipped_docs", F.concat("skipped_docs", F.array(*map(F.lit, bad)) if bad else F.array().cast("array<string>")))
 
 

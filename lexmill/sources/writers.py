@@ -15,10 +15,15 @@ def json_lines(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def one_json(spark: SparkSession, value: dict, path: str) -> None:
-    """A small dict as one JSON file, through Spark's file systems."""
+    """A small dict as one JSON file."""
+    one_text(spark, json.dumps(value, ensure_ascii=False, indent=2, default=str), path)
+
+
+def one_text(spark: SparkSession, text: str, path: str) -> None:
+    """A small text as one file, through Spark's file systems."""
     hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
     out = hpath.getFileSystem(spark._jsc.hadoopConfiguration()).create(hpath, True)
-    out.write(bytearray(json.dumps(value, ensure_ascii=False, indent=2, default=str).encode()))
+    out.write(bytearray(text.encode()))
     out.close()
 
 

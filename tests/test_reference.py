@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 import math
 import random
 import re
@@ -437,3 +438,79 @@ def test_hooks(spark):
     register.register_reranker(spark, "score_", lambda q, t: float(q in t))
     got = spark.sql("select n_tokens('a b c') n, size(embed_('a b')) d, score_('a', 'cab') s").first()
     assert (got.n, got.d, got.s) == (3, 64, 1.0)
+
+
+def test_files_of_one_name_and_broken_files(spark, tmp_path):
+    for folder, text in (("a", "one\x0ctwo"), ("b", "three\x0cfour\x0cfive")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.txt").write_text(text, encoding="utf-8")
+    (tmp_path / "good.pdf").write_bytes(b"six|seven")
+    (tmp_path / "bad.pdf").write_bytes(b"broken")
+
+    def extract(content, n):
+        if b"|" not in content:
+            raise ValueError("no pages here")
+        return content.decode().split("|")[:n]
+
+    paths = [str(tmp_path / p) for p in ("a/x.txt", "bad.pdf", "b/x.txt", "good.pdf", "none.txt", "y.doc")]
+    (tmp_path / "y.doc").write_text("z", encoding="utf-8")
+    found, report = readers.read_documents(spark, paths, 800, 4, extract)
+    assert [(r.file_ord, r.text) for r in found.orderBy("file_ord", "page_num").collect()] == [(0, "one"), (0, "two"), (2, "three"), (2, "four")]
+    assert report.first().skipped_docs == ["good.pdf", "none.txt: missing", "y.doc: unsupported", "bad.pdf: ValueError: no pages here"]
+
+
+def test_layout_adapter(spark, tmp_path):
+    (tmp_path / "x.pdf").write_bytes(b"x")
+    found, errors = readers.layout_pages(spark, str(tmp_path / "x.pdf"), 9, lambda content, n: [(None, "title"), (3, "c"), (1, "body")])
+    assert [(r.page_num, r.text) for r in found.orderBy("page_num").collect()] == [(1, "title\nbody"), (2, ""), (3, "c")] and errors.count() == 0
+
+
+def test_two_configurations_of_one_engine(spark, tmp_path):
+    engine = Engine(spark)
+    engine.build_indexes(chunking.chunk_documents(pages(spark, [f"Pump number {k} moves water to tank {k}." for k in range(12)])))
+    gold = spark.createDataFrame([("1", "pump number 3", 4, 4, None, None, ["x"])], "query_id string, query string, page_start int, page_end int, char_start int, char_end int, tags array<string>")
+    out = engine.evaluate(gold, [RetrievalConfig(engine="lexical", top_k=1), RetrievalConfig(engine="lexical", top_k=9), RetrievalConfig(engine="hybrid")], str(tmp_path))
+    assert {r.engine for r in out["items"].collect()} == {"lexical-1", "lexical-2", "hybrid"}
+    assert {"bm25", "rerank", "pack", "total"} <= {r.key for r in out["latency"].where("engine = 'lexical-1'").collect()}
+    assert {"encode", "vectors", "bm25", "fusion"} <= {r.key for r in out["latency"].where("engine = 'hybrid'").collect()}
+    assert (tmp_path / "report.html").read_text(encoding="utf-8").startswith("<!doctype html>")
+    run = json.loads((tmp_path / "lexical-2_run.json").read_text(encoding="utf-8"))
+    assert run["config"]["top_k"] == 9 and run["latency"]["total"]["p50"] > 0
+    assert len(engine.ablation(gold, ["lexical"])["aggregates"].collect()) == 4
+    assert engine.status().first().chunks == engine.chunk_view().count() == engine.debug_view("pump", RetrievalConfig(engine="lexical")).count()
+
+
+def test_reranker_that_fails(spark):
+    def broken(query, text):
+        return F.raise_error(F.lit("no reranker"))
+
+    engine = Engine(spark, scorer=broken)
+    engine.build_indexes(spark.createDataFrame([(str(k), "d", k, k, f"Pump number {k} moves water.", 5) for k in range(9)], "chunk_id string, doc_id string, page_start int, page_end int, text string, token_len int"))
+    out = engine.retrieve("pump number 3", RetrievalConfig(engine="hybrid", rerank_top_n=2))
+    assert len(out["rerank_candidates"]) == 2 and all(r["rerank_score"] == 0 for r in out["rerank_candidates"])
+    assert any("reranker failed" in n for n in out["provenance"]["notices"])
+    assert out["provenance"]["fusion"]["both"] > 0 and len(out["provenance"]["fused_debug"]) == 5
+
+
+def test_paraphrases_join_assembly_with_hard_negatives(spark):
+    text = "PUMP SYSTEM\n\nThe pump is a device that moves water to the tank.\n\nsize: 40 gb | limit"
+    own = spark.createDataFrame([("d", "Manual", 1, text), ("d", "Manual", 2, "The pump system and its device are cleaned. Water moves."), ("e", "Other", 1, "Nothing here at all.")], "doc_id string, doc_name string, page_num int, text string")
+    cand = gold_rules.with_text(gold_rules.harvest(own), own)
+    same, decided = gold_rules.paraphrase(cand)
+    assert all("paraphrase" not in r.tags for r in same.collect()) and decided.count() == cand.count()
+    other, all_ = gold_rules.paraphrase(cand, lambda q, formal: ["How does the pump system move water?", "How does the pump system move water? ", "It?"])
+    rows = other.collect()
+    assert [r.question for r in rows] == ["How does the pump system move water?"] and "paraphrase" in rows[0].tags
+    stats = {(r.kind, r.name): r.n for r in gold_rules.paraphrase_stats(other, all_).collect()}
+    assert stats["all", "total"] == 1 and stats["wh", "how"] == 1 and any(k == "rejected" for k, _ in stats)
+    chunks = own.select(F.concat_ws(":", "doc_id", F.col("page_num").cast("string")).alias("chunk_id"), "doc_id", F.col("page_num").alias("page_start"), "text")
+    gold = gold_rules.assemble(cand, total=50, paraphrases=other, chunks=chunks).collect()
+    assert gold and all("d:1" not in r.hard_negative_ids for r in gold) and any("d:2" in r.hard_negative_ids for r in gold)
+
+
+def test_hash_ranks_count_within_a_class(spark):
+    rows = spark.range(5000).select("id", F.when(F.col("id") % 10 > 0, "hot").alias("c"))
+    found = gold_rules.hash_ranks(rows, "c", F.sha1(F.col("id").cast("string"))).collect()
+    for c in ("hot", None):
+        own = sorted((r for r in found if r.c == c), key=lambda r: r._h)
+        assert [r._k for r in own] == list(range(1, len(own) + 1)) and len(own) == (4500 if c else 500)
