@@ -10,8 +10,9 @@ the normalised text itself is part of the grouping key beside its digest:
 3. global: at most ``salts`` winners per content meet in their digest's partition.
 
 A winner is one decimal: original length, then smallest id, so that ``max`` runs in a hash aggregate.
-Only groups of two or more rows are joined back to the documents, by digest and by one of ``SLOTS``
-slots, so that a hot group's documents are spread over tasks. Where two contents share a digest, which the global stage notices, these
+Only groups of two or more rows are joined back to the documents, by digest. Groups with a thousandth of
+all these rows or more, a thousand groups at most, are broadcast instead, and their documents are spread
+over tasks whatever a group's size. Where two contents share a digest, which the global stage notices, these
 digests alone are joined by content as well.
 """
 
@@ -20,11 +21,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm.store import fresh, lost_matches, written
+from lexmill.llm.store import SHARES, fresh, lost_matches, written
 
 BLANKS = r"[\x20\x09-\x0D]"
-#: A group's row is laid out so many times for the join with its documents, which are dealt among them.
-SLOTS = 8
 _MAX_LONG = "9223372036854775807"
 _STEP = "100000000000000000000"  # 10^20, above any id's place in the rank
 
@@ -72,12 +71,21 @@ def annotate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
     groups = written(copy_groups(docs, "_id", "_text", salts, digest), "copies")
     text = F.coalesce(F.col("_text"), F.lit(""))
     rows = docs.select("_id", _rank(F.col("_id"), F.length(text)).alias("rank"), digest(normalised(F.col("_text"))).alias("digest"), normalised(F.col("_text")).alias("norm"))
-    rows = rows.withColumn("slot", F.pmod(F.hash("_id"), F.lit(SLOTS)))
-    clear = groups.where("norm is null").select("digest", F.col("rank").alias("best"), "size", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))).alias("slot"))
+    clear = groups.where("norm is null")
+    least = max(1, -(-(clear.agg(F.sum("size")).first()[0] or 0) // SHARES))
+    hot = clear.where(F.col("size") >= least).select("digest", F.col("rank").alias("h_best"), F.col("size").alias("h_size"))
+    cool = clear.where(F.col("size") < least).select(F.col("digest").alias("dealt"), F.col("rank").alias("best"), "size")
+
+    def with_groups(rows: DataFrame) -> DataFrame:
+        met = rows.join(F.broadcast(hot), "digest", "left")
+        met = met.withColumn("dealt", F.when(F.col("h_best").isNull(), F.col("digest")).otherwise(F.concat_ws(":", "digest", "_id")))  # met rows are dealt anywhere
+        met = met.join(cool, "dealt", "left")
+        return met.withColumn("best", F.coalesce("h_best", "best")).withColumn("size", F.coalesce("h_size", "size"))
+
     clashing = groups.where("norm is not null").select(F.col("digest").alias("c_digest"), F.col("norm").alias("c_norm"), F.col("rank").alias("c_best"), F.col("size").alias("c_size"))
-    out = rows.drop("norm").join(clear, ["digest", "slot"], "left")
+    out = with_groups(rows.drop("norm"))
     if not clashing.isEmpty():
-        out = rows.join(clear, ["digest", "slot"], "left").join(clashing, (F.col("digest") == F.col("c_digest")) & (F.col("norm") == F.col("c_norm")), "left")
+        out = with_groups(rows).join(clashing, (F.col("digest") == F.col("c_digest")) & (F.col("norm") == F.col("c_norm")), "left")
         out = out.withColumn("best", F.coalesce("best", "c_best")).withColumn("size", F.coalesce("size", "c_size"))
     return out.select(
         F.col("_id").alias(id_col),

@@ -1,8 +1,15 @@
 from __future__ import annotations
 
+import hashlib
 import re
 
+import sentencepiece
+
 import corpus_pipeline
+from lexmill.llm import toxicity
+from lexmill.llm.queries import vocabulary
+
+from .test_operators import brute_components, slow_fingerprint
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,8 +35,32 @@ def test_stages(spark):
     items = [" ".join(re.findall(r"[^\W_]+", r.text.lower())) for r in corpus_pipeline.table(spark, SF, "benchmark").collect()]
     holds = {i for i, r in before.items() if any(f" {x} " in f" {' '.join(re.findall(r'[^\W_]+', r.text.lower()))} " for x in items)}
     assert holds == set(before) - set(rows)
-    last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
-    assert last.count() == len(rows)
+    _, before, rows = kept[0]
+    scored = toxicity.report(corpus_pipeline.table(spark, SF, "documents"), corpus_pipeline.table(spark, SF, "labels"))
+    assert set(rows) == {r.doc_id for r in scored.collect() if r.score < 0.3}
+    _, before, rows = kept[2]
+    assert set(rows) == set(brute_components({i: slow_fingerprint(r.text) for i, r in before.items()}).values())
+    sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    before = {r.doc_id: r.text for r in docs.collect()}
+    last = {r.doc_id: r for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()}
+    assert set(last) == set(before)
+    for i, text in before.items():
+        ids = sp.encode(text or "", add_eos=True)
+        assert list(last[i].ids) == ids and last[i].decoded_sha256 == hashlib.sha256(sp.decode(ids).encode()).hexdigest()
+
+
+def test_hard_rows_and_empty_tables(spark, hard, none, tmp_path):
+    """All stages on nulls, blanks, repeats, a long text and clashing names; and on tables without rows."""
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (5, 1, 0), (6, 0, 0), (7, 1, 0), (8, 1, 0), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog by the river bank"), (None, None)], "item_id long, text string")
+    for name, docs in (("hard", hard), ("none", none)):
+        folder = str(tmp_path / name)
+        docs.write.parquet(f"{folder}/documents.parquet")
+        (labels if name == "hard" else labels.limit(0)).write.parquet(f"{folder}/labels.parquet")
+        (items if name == "hard" else items.limit(0)).write.parquet(f"{folder}/benchmark.parquet")
+        found = sorted((r.doc_id or -1) for r in corpus_pipeline.run(spark, folder).collect())
+        # blank texts are one group, of which the one with the most characters stays; 1 and 2 hold the passage
+        assert found == ([-1, 5, 6, 7, 8, 9] if name == "hard" else [])
 
 
 def test_run(spark):
