@@ -43,7 +43,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("sentencepiece", encode),
 ]
 
-#: SQL cannot express the trees, the fingerprints or the merges; tests hold each stage against brute force.
+#: SQL cannot express the trees, the fingerprints or the merges; tests hold each stage against brute force (toxicity: against its own scores).
 ORACLE_SQL = None
 
 
