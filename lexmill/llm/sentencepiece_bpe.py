@@ -23,7 +23,7 @@ from lexmill.functions.shipping import ship
 
 MARK = "▁"
 #: Entries of the younger half of a worker's memory of parts; beyond that, it becomes the older half.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 _LONG = 200  # longer parts are not remembered
 
 # A broken byte becomes one replacement character, and so does each further byte of a broken character.
