@@ -55,10 +55,10 @@ def block_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.blocks(own).select("doc_id", "block_seq", "kind", "char_start", "char_end")
 
 
-@query(rf"""WITH s AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: {strip_sql('x')}), lambda x: x <> '')[1:300] AS s FROM documents)
+@query(rf"""WITH s AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), lambda x: {strip_sql('x')}), lambda x: x <> '') AS s FROM documents)
     SELECT doc_id, len(s) AS sentences, md5(array_to_string(s, '|')) AS sentences_md5 FROM s""")
 def sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = table(spark, sf_dir, "documents").select("doc_id", T.sentences(F.col("text"), 300).alias("s"))
+    own = table(spark, sf_dir, "documents").select("doc_id", T.sentences(F.col("text")).alias("s"))
     return own.select("doc_id", F.size("s").cast("long").alias("sentences"), F.md5(F.array_join("s", "|")).alias("sentences_md5"))
 
 
