@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from lexmill.functions.shipping import ship
 from lexmill.llm.store import new_path, written
 
-#: Entries of a worker's memory of words, in each of two generations.
+#: Entries of a worker's memory of the parts of words, in each of two generations.
 REMEMBERED = 300_000
 _LONG = 200
 _LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
@@ -104,11 +104,13 @@ class _Recent(dict):
 
 
 #: Between a letter and a sign (but the apostrophe) of ASCII a word is cut in any case.
-_PART = re.compile(rb"(?<=[a-z])(?=[!-&(-@\[-`{-~])|(?<=[!-&(-@\[-`{-~])(?=[a-z])")
+_SIGN = r"[!-&(-@\[-`{-~]"
+_PART = re.compile(rf"(?<=[a-z])(?={_SIGN})|(?<={_SIGN})(?=[a-z])".encode())
+_CUTS = rf"([a-z])({_SIGN})", rf"({_SIGN})([a-z])"
 
 
 class Words:
-    """The library's ids of texts, put together from those of words and their parts. The tokenizer drops blanks, ignores case, and merges nothing across a blank or a part's end."""
+    """The library's ids of texts, put together from those of the parts of their words. The tokenizer drops blanks, ignores case, and merges nothing across a blank or a part's end."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -116,7 +118,6 @@ class Words:
         self.of = Tokenizer.from_file(path)
         self.model = self.of.model
         self.parts = _Recent(self.part)
-        self.words = _Recent(lambda w: b"".join([self.parts[p] for p in _PART.split(w)]))
 
     def part(self, part: bytes) -> bytes:
         if part.isalpha():  # bytes: ASCII letters, which the tokenizer's steps before the merges leave alone
@@ -131,25 +132,31 @@ class Words:
         raw = (text or "").encode("utf-8", "surrogatepass")
         if b"<|" in raw:  # perhaps a special token, which is told by its case
             return self.whole(text) + end
-        known = self.words
-        return b"".join([known[w] for w in raw.lower().split()]) + end  # bytes: ASCII only
+        known = self.parts
+        return b"".join([known[p] for w in raw.lower().split() for p in _PART.split(w)]) + end  # bytes: ASCII only
 
     def batch(self, texts: pa.Array, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts end to end, how many each has). Each different word of the batch is looked up once."""
-        split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        """(ids of all texts end to end, how many each has). Each different part of the batch is looked up once."""
+        cut = pc.ascii_lower(texts)
+        for pattern in _CUTS:
+            cut = pc.replace_substring_regex(cut, pattern, r"\1 \2")
+        split = pc.ascii_split_whitespace(cut)
         ends = split.offsets.to_numpy().astype(np.int64)
         coded = split.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
-        known = self.words
-        own = [known[w] for w in coded.dictionary.cast(pa.binary()).to_pylist()]
+        del cut, split
+        known = self.parts
+        own = [known[p] for p in coded.dictionary.cast(pa.binary()).to_pylist()]
         own.append(end.tobytes())
         pool, sizes = np.frombuffer(b"".join(own), "<u4"), np.fromiter(map(len, own), np.int64, len(own)) // 4
         starts = np.cumsum(sizes) - sizes
         ends -= ends[0]
-        which = np.insert(coded.indices.to_numpy().astype(np.int64), ends[1:], len(own) - 1)  # the end id behind each text
+        which = np.insert(coded.indices.to_numpy(), ends[1:], len(own) - 1)  # the end id behind each text
         size = sizes[which]
         until = np.concatenate(([0], np.cumsum(size)))
-        flat = pool[np.repeat(starts[which] - until[:-1], size) + np.arange(until[-1])]
-        return flat, np.diff(until[np.concatenate(([0], ends[1:] + np.arange(1, len(ends))))])
+        counts = np.diff(until[np.concatenate(([0], ends[1:] + np.arange(1, len(ends))))])
+        place = np.repeat(starts[which] - until[:-1], size)
+        place += np.arange(len(place))
+        return pool[place], counts
 
 
 _words: dict[str, Words] = {}
@@ -162,10 +169,10 @@ def words(path: str) -> Words:
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:
-    """Batches of some 8 MB of text, one row at least, with their texts; nulls are empty."""
+    """Batches of some 4 MB of text, one row at least, with their texts; nulls are empty."""
     for whole in batches:
         texts = pc.fill_null(whole.column(1), "")
-        for part in _groups(pc.binary_length(texts).to_numpy().astype(np.int64), 8 << 20):
+        for part in _groups(pc.binary_length(texts).to_numpy().astype(np.int64), 4 << 20):
             yield whole.slice(part.start, part.stop - part.start), texts.slice(part.start, part.stop - part.start)
 
 
@@ -175,11 +182,13 @@ def tokenized(docs: DataFrame, path: str, end: int, id_col: str = "doc_id", text
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, last = words(path), np.array([end], "<u4")
         for batch, texts in _slices(batches):
-            if pc.any(pc.match_substring(texts, "<|")).as_py():
-                rows = [of.ids(t.as_py(), last.tobytes()) for t in texts]
-                flat, counts = np.frombuffer(b"".join(rows), "<u4"), np.fromiter(map(len, rows), np.int64, len(rows)) // 4
-            else:
-                flat, counts = of.batch(texts, last)
+            odd = pc.match_substring(texts, "<|")
+            flat, counts = of.batch(pc.if_else(odd, "", texts), last)
+            if pc.any(odd).as_py():
+                rows = np.split(flat, np.cumsum(counts)[:-1])
+                for i in np.flatnonzero(odd):
+                    rows[i] = np.frombuffer(of.ids(texts[i].as_py(), last.tobytes()), "<u4")
+                flat, counts = np.concatenate(rows), np.fromiter(map(len, rows), np.int64, len(rows))
             width = 2 if not len(flat) or flat.max() < 1 << 16 else 4
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.full(len(counts), width, np.int32)), _binary(flat.astype(f"<u{width}").view(np.uint8), counts * width)], names=["id", "width", "ids"])
 

@@ -258,6 +258,39 @@ def test_token_files(spark):
         start += len(ids)
 
 
+def test_token_files_remember_parts_once():
+    """Words made of a few parts take the memory of these parts; ids are the library's, cut at every kind of sign."""
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    of, tk, end = token_files.Words(path), Tokenizer.from_file(path), np.array([2], "<u4")
+    some = ["".join(chr(97 + i // 26**k % 26) for k in range(3)) for i in range(100)]
+    texts = [" ".join(f"{a}-{b}" for b in some) for a in some]
+    rng = random.Random(5)
+    texts += ["".join(rng.choice("abzAZ09'’!&(-@[`{~ \t\n\x1cäß\u0301漢") for _ in range(200)) for _ in range(300)] + ["", "-", "a", "a-", "-a"]
+    flat, counts = of.batch(pa.array(["not this", *texts]).slice(1), end)
+    for t, own in zip(texts, np.split(flat, np.cumsum(counts)[:-1]), strict=True):
+        assert own.tolist() == tk.encode(t, add_special_tokens=False).ids + [2], t
+    of = token_files.Words(path)
+    of.batch(pa.array(texts[:100]), end)
+    assert sum(len(m) + len(m.old) for m in vars(of).values() if isinstance(m, dict)) == len(some) + 1
+
+
+def test_token_files_special_rows(spark):
+    """A row with a special token's marks is told by the library alone; its neighbours go on as without it."""
+    from tokenizers import Tokenizer
+
+    path = vocabulary("word_bpe_49k.json")
+    tk, own = Tokenizer.from_file(path), ["<|endoftext|>", "it's x-y", None, "a <|b", "", "x<|endoftext|>y", "z"]
+    found = rows(token_files.round_trip(spark.createDataFrame(list(enumerate(own)), "doc_id long, text string").coalesce(1), path, 2))
+    for i, t in enumerate(own):
+        ids = tk.encode(t or "", add_special_tokens=False).ids + [2]
+        assert (found[i].n_tokens, found[i].ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), t
+
+
 # 7
 
 
