@@ -68,7 +68,7 @@ def annotate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sa
     their names.
     """
     docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    groups = written(copy_groups(docs, "_id", "_text", salts, digest), "copies")
+    groups = written(copy_groups(docs, "_id", "_text", salts, digest).hint("rebalance"), "copies")  # rows by size, not a file for each partition of the texts
     text = F.coalesce(F.col("_text"), F.lit(""))
     rows = docs.select("_id", _rank(F.col("_id"), F.length(text)).alias("rank"), digest(normalised(F.col("_text"))).alias("digest"), normalised(F.col("_text")).alias("norm"))
     clear = groups.where("norm is null")

@@ -23,8 +23,10 @@ from lexmill.functions.shipping import ship
 
 MARK = "▁"
 #: Entries of the younger half of a worker's memory of parts; beyond that, it becomes the older half.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 _LONG = 200  # longer parts are not remembered
+#: Rows that digests() takes at a time; Spark's batches of 10,000 rows and their ids would stay in a worker's memory after the task.
+_ROWS = 500
 
 # A broken byte becomes one replacement character, and so does each further byte of a broken character.
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
@@ -203,29 +205,34 @@ def encode_table(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     return rows.mapInArrow(each, f"id {rows.schema[0].dataType.simpleString()}, ids array<int>, decoded string").withColumnRenamed("id", id_col)
 
 
+def _digests(batches: Iterator[pa.RecordBatch], model_path: str, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    """The rows of digests() for batches of (id, text), some at a time."""
+    c, known, says = worker(model_path)
+    end = str(c.end)
+    for batch in (whole.slice(at, _ROWS) for whole in batches for at in range(0, whole.num_rows, _ROWS)):
+        n, ids_sha, text_sha, arrays = [], [], [], []
+        for text in batch.column(1):
+            text = text.as_py()
+            ids = " ".join([known[p] for p in c.parts(text)] + [end])
+            each_id = ids.split(" ")
+            said = "".join([says[i] for i in each_id])
+            n.append(len(each_id))
+            if with_ids:
+                arrays.append(np.array(each_id, np.int32))
+            ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
+            text_sha.append(hashlib.sha256(c.text_of(said[1:] if said[:1] == " " else said)).hexdigest())
+        columns = {"id": batch.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
+        if with_ids:
+            flat = np.concatenate(arrays) if arrays else np.zeros(0, np.int32)
+            columns["ids"] = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(flat))
+        yield pa.RecordBatch.from_pydict(columns)
+
+
 def digests(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
     """(id, n_tokens, ids_sha256, decoded_sha256) of encode_table()'s rows, and their ids (array<int>) if asked for."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, known, says = worker(model_path)
-        end = str(c.end)
-        for batch in batches:
-            n, ids_sha, text_sha, arrays = [], [], [], []
-            for text in batch.column(1):
-                text = text.as_py()
-                ids = " ".join([known[p] for p in c.parts(text)] + [end])
-                each_id = ids.split(" ")
-                said = "".join([says[i] for i in each_id])
-                n.append(len(each_id))
-                if with_ids:
-                    arrays.append(np.array(each_id, np.int32))
-                ids_sha.append(hashlib.sha256(ids.encode()).hexdigest())
-                text_sha.append(hashlib.sha256(c.text_of(said[1:] if said[:1] == " " else said)).hexdigest())
-            columns = {"id": batch.column(0), "n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(text_sha, pa.string())}
-            if with_ids:
-                flat = np.concatenate(arrays) if arrays else np.zeros(0, np.int32)
-                columns["ids"] = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_pydict(columns)
+        return _digests(batches, model_path, with_ids)
 
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

@@ -128,6 +128,29 @@ def test_sentencepiece_backtracks():
     assert different > 50
 
 
+def test_sentencepiece_takes_few_rows_at_a_time():
+    """A worker holds the ids of some rows, not of Spark's whole batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    path = vocabulary("piece_bpe_32k.model")
+    texts = [prose(i % 50, 200) for i in range(4000)]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(4000), pa.int64()), "text": pa.array(texts)})
+    codec = sentencepiece_bpe.worker(path)[0]
+    known = [codec.encode(t) for t in texts[:50]]
+    got = []
+    list(sentencepiece_bpe._digests(iter([batch.slice(0, 50)]), path, True))  # words are known from now on
+    tracemalloc.start()
+    for out in sentencepiece_bpe._digests(iter([batch]), path, True):
+        assert out.column("ids")[0].as_py() == known[len(got) % 50]
+        got += zip(out.column("id").to_pylist(), out.column("n_tokens").to_pylist(), strict=True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == [(i, len(known[i % 50])) for i in range(4000)]
+    assert peak < 4 * sum(n for _, n in got) / 2  # of four bytes each
+
+
 # 3
 
 
@@ -316,6 +339,21 @@ def test_exact_dedup(spark, weak):
     assert {r.doc_id for r in exact_dedup.dedup(spark.createDataFrame(own, "doc_id long, text string")).collect()} == {k for k, _, _ in brute_copies(own).values()}
 
 
+def test_groups_of_copies_are_written_by_size(spark, monkeypatch):
+    files = {}
+
+    def counted(df, name, put=exact_dedup.written):
+        out = put(df, name)
+        files[name] = len([f for f in out.inputFiles() if "part-" in f])
+        return out
+
+    monkeypatch.setattr(exact_dedup, "written", counted)
+    long = [np.random.default_rng(i % 60).bytes(150_000).hex() for i in range(120)]  # 18 MB, so that the texts' partitions are not joined
+    found = rows(exact_dedup.annotate(spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")))
+    assert all((found[i].keep_id, found[i].group_size) == (i % 60, 2) for i in range(120))
+    assert files == {"copies": 1}
+
+
 # 8
 
 
