@@ -133,6 +133,71 @@ def test_bm25_counts_repeats_and_fills_with_zeros(spark):
     assert got[0].score == pytest.approx(2 * once.score) and got[1].score == 0
 
 
+def bm25_by_hand(docs, asked, words=r"[a-z0-9]+"):
+    """{query: {id: score}} of the chunks that share a word."""
+    bags = {i: Counter(re.findall(words, t)) for i, t in docs}
+    mean, df = sum(sum(b.values()) for b in bags.values()) / len(bags), Counter(w for b in bags.values() for w in b)
+    plain = {w: math.log(len(bags) - n + 0.5) - math.log(n + 0.5) for w, n in df.items()}
+    idf = {w: 0.25 * sum(plain.values()) / len(plain) if x < 0 else x for w, x in plain.items()}
+    part = lambda b, w: idf[w] * b[w] * 2.5 / (b[w] + 1.5 * (0.25 + 0.75 * sum(b.values()) / mean))
+    return {q: {i: sum(part(b, w) for w in re.findall(words, t) if w in b) for i, b in bags.items() if set(b) & set(re.findall(words, t))} for q, t in asked}
+
+
+@pytest.fixture
+def tables_written(monkeypatch):
+    """Row counts of the tables that BM25 writes."""
+    sizes, write = [], lexical.written
+
+    def spy(rows, name):
+        out = write(rows, name)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(lexical, "written", spy)
+    return sizes
+
+
+def test_hard_negatives_against_brute_force(spark, monkeypatch, tables_written):
+    monkeypatch.setattr(lexical, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(lexical, "_PRODUCTS", 50)
+    monkeypatch.setattr(lexical, "_MOST_COMMON", 2)
+    r = random.Random(1)
+    texts = [" ".join(["the", *r.choices("abcdefghijklmnop", k=r.randrange(12))]) for _ in range(120)]
+    rows = [(f"c{i}", f"d{i % 3}" if i % 11 else None, i % 5 if i % 7 else None, t) for i, t in enumerate(texts)]
+    chunks = spark.createDataFrame(rows, "chunk_id string, doc_id string, page_start long, text string").repartition(5)
+    gold = spark.createDataFrame([(i, t, "x the", d, p) for i, (_, d, p, t) in enumerate(rows[:40])], "id long, question string, answer_text string, doc_id string, page_start long")
+    got = {x.id: x.hard_negative_ids for x in lexical.hard_negatives(chunks, gold).collect()}
+    scores = bm25_by_hand([(c, t) for c, _, _, t in rows], [(i, f"{rows[i][3]} x the") for i in range(40)])
+    place = {c: (d, p) for c, d, p, _ in rows}
+    for q, found in scores.items():
+        other = sorted((c for c in found if place[c] != rows[q][1:3]), key=lambda c: (-round(found[c], 9), c))
+        assert got[q] == other[:5]
+    assert max(tables_written) < 600  # 40 queries meet 120 chunks; not the 4 800 pairs, and postings are packed
+
+
+def test_capped_lists_of_parts_merge(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "tile_rows", lambda n: 3)
+    r = random.Random(2)
+    docs = [(i, " ".join(r.choices("abcdef", k=6))) for i in range(60)]
+    own = spark.createDataFrame([(i, t, f"s{i % 4}") for i, t in docs], "doc_id long, text string, source string").repartition(6)
+    asked = [(0, "a b"), (1, "c"), (2, "zzz")]
+    items = spark.createDataFrame(asked, "item_id long, text string")
+    rows = lexical.best(lexical.build(own, keep={"kept": F.col("source")}), items, 5, cap=2).collect()
+    for q, found in bm25_by_hand(docs, asked).items():
+        cut = lambda ids, score: [i for i in sorted(ids, key=lambda i: (-round(score[i], 9), i))]
+        keep = lambda ids: [i for k, i in enumerate(ids) if sum(j % 4 == i % 4 for j in ids[:k]) < 2][:5]
+        mine = {x.doc_id: x.score for x in rows if x.item_id == q}
+        assert keep(cut(mine, mine)) == keep(cut(found, found))
+
+
+def test_search_keeps_few_rows(spark, tables_written):
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.concat(F.lit("all of them "), F.col("id").cast("string")).alias("text"))
+    asked = spark.range(20).select(F.col("id").alias("item_id"), F.concat(F.lit("all "), F.col("id").cast("string")).alias("text"))
+    got = lexical.search(docs, asked, 2).collect()
+    assert len(got) == 40 and all(r.item_id == r.doc_id for r in got if r["rank"] == 1)
+    assert max(tables_written) < 400  # 6 000 pairs share a word
+
+
 def test_fusion_by_hand(spark):
     a = spark.createDataFrame([("q", "x", 9.0, 1), ("q", "y", 5.0, 2)], "query_id string, chunk_id string, score double, rank int")
     b = spark.createDataFrame([("q", "y", 3.0, 1), ("q", "z", 3.0, 2)], "query_id string, chunk_id string, score double, rank int")
