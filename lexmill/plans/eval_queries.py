@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexmill.functions.store import written
 from lexmill.operators import evaluate as E
 from lexmill.plans.registry import query, table
 from lexmill.plans.retrieval_queries import BOTH_SQL, both_lists
@@ -19,7 +20,7 @@ def results(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(results of two engines, gold)."""
     own = table(spark, sf_dir, "embeddings")
     sem, lex = both_lists(spark, sf_dir)
-    both = sem.withColumn("engine", F.lit("full")).unionByName(lex.withColumn("engine", F.lit("short")))
+    both = written(sem.withColumn("engine", F.lit("full")).unionByName(lex.withColumn("engine", F.lit("short"))), "results")  # else each metric searches anew
     v = F.col("vec_id")
     pages = own.select(v.alias("chunk_id"), F.col("label").alias("page_start"), F.when(v % 3 == 0, 0).otherwise(F.col("label") + v % 2).alias("page_end"), ((v * 37) % 500).alias("char_start"), (40 + v % 60).alias("n_chars"))
     gold = own.where("vec_id % 20 = 0").select(v.alias("query_id"), F.col("label").alias("page_start"), F.col("label").alias("page_end"), F.when(v % 40 == 0, 100).alias("char_start"), F.array(F.concat(F.lit("page"), F.col("label").cast("string"))).alias("tags"))

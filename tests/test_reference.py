@@ -7,9 +7,11 @@ import json
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from lexmill.functions import register
 from lexmill.functions import text as T
 from lexmill.operators import chunking, evaluate, fusion, gold_rules, lexical, synth, vector
 from lexmill.operators import pages as P
+from lexmill.operators.best import Best
 from lexmill.plans import gold_queries
 from lexmill.plans.engine import Cache, Engine, RetrievalConfig
 from lexmill.sources import readers, writers
@@ -159,7 +162,6 @@ def tables_written(monkeypatch):
 
 def test_hard_negatives_against_brute_force(spark, monkeypatch, tables_written):
     monkeypatch.setattr(lexical, "QUERY_BLOCK", 7)
-    monkeypatch.setattr(lexical, "_PRODUCTS", 50)
     monkeypatch.setattr(lexical, "_MOST_COMMON", 2)
     r = random.Random(1)
     texts = [" ".join(["the", *r.choices("abcdefghijklmnop", k=r.randrange(12))]) for _ in range(120)]
@@ -175,8 +177,53 @@ def test_hard_negatives_against_brute_force(spark, monkeypatch, tables_written):
     assert max(tables_written) < 600  # 40 queries meet 120 chunks; not the 4 800 pairs, and postings are packed
 
 
-def test_capped_lists_of_parts_merge(spark, monkeypatch):
-    monkeypatch.setattr(lexical, "tile_rows", lambda n: 3)
+def test_products_of_common_and_rare_words(monkeypatch):
+    monkeypatch.setattr(lexical, "_PRODUCTS", 50)
+    monkeypatch.setattr(lexical, "_MOST_COMMON", 2)
+    r = np.random.default_rng(3)
+    weight, value = r.normal(size=(30, 17)) * (r.random((30, 17)) < 0.4), r.normal(size=(23, 30)) * (r.random((23, 30)) < 0.4)
+    t, q = np.nonzero(weight)
+    entries = pa.table({"q": pa.array(q), "term": pa.array([f"t{x}" for x in t]), "weight": pa.array(weight[t, q]), "df": pa.array((value != 0).sum(axis=0)[t])})
+    own = lexical.block(pa.array(np.arange(17)), entries, 23)
+    at = [int(str(x)[1:]) for x in own.terms]
+    d, k = np.nonzero(value[:, at])
+    assert own.full.shape == (2, 17)
+    np.testing.assert_allclose(lexical.products(own, d, k, value[:, at][d, k], 23), value @ weight, atol=1e-12)
+    np.testing.assert_array_equal(lexical.products(own, d, k, value[:, at][d, k], 23, ones=True), (value != 0).astype(int) @ (weight != 0).astype(int))
+
+
+@pytest.mark.parametrize("cap", [None, 2])
+def test_best_of_tiles(cap):
+    r = np.random.default_rng(4)
+    scores, ids = r.integers(0, 40, size=(900, 6)) / 7 + 1e-13 * r.normal(size=(900, 6)), r.permutation(900)
+    for named in (ids, np.array([f"{i:04}" for i in ids], object)):
+        kept = Best(6, 5, cap)
+        kept.waiting = -10**9 if cap else 10**6  # cut at the end alone, or once early
+        for a in range(0, 900, 70):
+            kept.add(scores[a : a + 70], named[a : a + 70], scores[a : a + 70] < 5, ids[a : a + 70] % 3 if cap else None)
+        q, i, s = kept.rows()
+        for n in range(6):
+            order = [j for j in np.lexsort((ids, -np.round(scores[:, n], 9))) if scores[j, n] < 5]
+            want = [j for k, j in enumerate(order[:400]) if cap is None or sum(ids[o] % 3 == ids[j] % 3 for o in order[:k]) < cap][:5]
+            assert named[want].tolist() == i[q == n].tolist()
+
+
+def test_vector_search_multiplies_tiles():
+    r = np.random.default_rng(5)
+    rows, ids = r.normal(size=(10_000, 4)).astype(np.float32), np.arange(2000)
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(10_000)), pa.array(list(rows))], names=["vec_id", "embedding"])
+    tracemalloc.start()
+    got = list(vector._kept(iter([batch]), ids, rows[:2000].astype(float), 3, "vec_id", None, True))[0]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100e6  # all scores of the batch are 160 MB
+    for q in (0, 1999):
+        s = rows.astype(float) @ rows[q].astype(float)
+        s[q] = -np.inf
+        assert got["vec_id"].to_numpy()[got["query_id"].to_numpy() == q].tolist() == np.argsort(-s)[:3].tolist()
+
+
+def test_capped_lists_of_parts_merge(spark):
     r = random.Random(2)
     docs = [(i, " ".join(r.choices("abcdef", k=6))) for i in range(60)]
     own = spark.createDataFrame([(i, t, f"s{i % 4}") for i, t in docs], "doc_id long, text string, source string").repartition(6)
