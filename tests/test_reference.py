@@ -10,6 +10,7 @@ import re
 import tracemalloc
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -37,6 +38,12 @@ def one(spark, column, **values):
 # cleaning and pages
 
 
+def test_shares_are_written_as_other_engines_do(spark):
+    own = [0.0, 1e-7, 1e-6, 9e-6, 1e-5, 1.2e-5, 9.9e-5, 1e-4, 0.00039, 0.001, 0.02, 0.1, 0.123456, 1 / 3, 0.5, 1.0]
+    got = spark.createDataFrame(list(enumerate(own)), "k long, v double").select("k", T.millionths(F.col("v"))).orderBy("k").collect()
+    assert [r[1] for r in got] == [r[0] for r in duckdb.connect().execute("SELECT round(unnest(?::DOUBLE[]), 6)::VARCHAR", [own]).fetchall()]
+
+
 def test_clean_joins_hyphens(spark):
     got = one(spark, T.clean_block(F.col("t")), t="Header\r\nSection\nLong-\nword  continues here \n\n\n\nFooter\n")
     assert got == "Header\nSection\nLongword continues here\n\nFooter"
