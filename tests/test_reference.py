@@ -627,6 +627,66 @@ def test_paraphrases_join_assembly_with_hard_negatives(spark):
     assert gold and all("d:1" not in r.hard_negative_ids for r in gold) and any("d:2" in r.hard_negative_ids for r in gold)
 
 
+def test_cosine_shuffles_no_pairs(spark, monkeypatch):
+    monkeypatch.setattr(lexical, "QUERY_BLOCK", 3)
+    r = random.Random(6)
+    texts = [" ".join(r.choices(["the", "red", "fox", "hen", "log", "sun", "sky"], k=r.randrange(9))) for _ in range(30)]
+    own = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    made = gold_rules.packed_tfidf(own, "doc_id")
+    out = gold_rules.cosine(made.where("doc_id % 4 = 0").withColumnRenamed("doc_id", "query_id"), made, "query_id", "doc_id")
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    bags = [Counter(w for w in t.split() if w != "the") for t in texts]
+    idf = {w: math.log(31 / (1 + sum(w in b for b in bags))) + 1 for b in bags for w in b}
+    size = [math.sqrt(sum((c * idf[w]) ** 2 for w, c in b.items())) for b in bags]
+    want = {(q, d): sum(c * bags[d][w] * idf[w] ** 2 for w, c in bags[q].items()) / size[q] / size[d] for q in range(0, 30, 4) for d in range(30) if set(bags[q]) & set(bags[d])}
+    assert {(x.query_id, x.doc_id): x.cosine for x in out.collect()} == pytest.approx(want)
+
+
+def test_questions_of_a_row_are_those_of_the_tables(spark):
+    values = [{"heading": "Pump", "section": "Pump", "scope": "{term} of it", "doc_name": "Doc", "topic": "Tanks ", "term": "tanks"}, {"metric": "4 gb", "scope": "x", "unit_item": "Items", "topic": "t", "entity_type": "row"}]
+    tags = [["definition", "whyhow", "other", "generic"], ["numeric", "table", "generic"]]
+    rows = spark.createDataFrame([(f"k{i}", t, v) for i, (t, v) in enumerate(zip(tags, values, strict=True))], "id string, tags array<string>, slots map<string,string>")
+    found = gold_rules.generate_questions(rows.select("id", F.explode("tags").alias("tag"), "slots"), "id", 2).collect()
+    for i, (t, v) in enumerate(zip(tags, values, strict=True)):
+        own = {}
+        for q in sorted((r.tag, r.question) for r in found if r.id == f"k{i}"):
+            own.setdefault(q[1].lower(), q)
+        assert own and gold_rules.template_questions(f"k{i}", t, v, 2) == sorted(own.values())
+
+
+def test_texts_are_met_once_and_late(spark, monkeypatch):
+    """No table of candidates holds pages' texts, and results are those of candidates with texts."""
+    written, write = [], gold_rules.written
+    monkeypatch.setattr(gold_rules, "written", lambda rows, name: written.append((name, rows.columns)) or write(rows, name))
+    line = "size: 40 gb | limit\nspeed: 7 ms | low\nThe pump is a device that moves water.\n   is it so\nFigure 1: Flow"
+    own = spark.createDataFrame([("d", "Manual", k, f"PUMP SYSTEM {k}\n\n{line}") for k in range(3)], "doc_id string, doc_name string, page_num int, text string")
+    with_text = gold_rules.with_text(gold_rules.harvest(own), own)
+    columns = ["gold_id", "question", "page_num", "char_start"]
+    want = [r for r in gold_rules.assemble(with_text, total=20).select(columns).orderBy("gold_id").collect()], sorted(gold_rules.paraphrase(with_text)[0].select("cand_id", "question", "wh").collect())
+    written.clear()
+    assert gold_rules.assemble(gold_rules.harvest(own), total=20, pages=own).select(columns).orderBy("gold_id").collect() == want[0]
+    assert sorted(gold_rules.paraphrase(gold_rules.harvest(own), pages=own)[0].select("cand_id", "question", "wh").collect()) == want[1]
+    assert gold_rules.extract(own).count() > 0
+    assert {"candidates", "wordings", "expanded"} <= {n for n, _ in written} and all("text" not in c for _, c in written)
+
+
+def test_choice_by_relevance_and_difference():
+    r, stop = random.Random(7), set(gold_rules.STOPWORDS)
+    for _ in range(30):
+        texts = [" ".join(r.choices("red fox hen log sun sky the it".split(), k=r.randrange(1, 6))) for _ in range(7)]
+        about = " ".join(r.choices("red fox hen log rain wind snow the".split(), k=r.randrange(12)))
+        bags = [Counter(w for w in t.split() if w not in stop and len(w) > 1) for t in [*texts, about]]
+        idf = {w: math.log(9 / (1 + sum(w in b for b in bags))) + 1 for b in bags for w in b}
+        unit = [{w: c * idf[w] for w, c in b.items()} for b in bags]
+        unit = [{w: x / math.sqrt(sum(y * y for y in u.values())) for w, x in u.items()} for u in unit]
+        like = lambda a, b: sum(x * unit[b].get(w, 0) for w, x in unit[a].items())  # noqa: B023, E731
+        want = []
+        while len(want) < 4:
+            value = [-9 if i in want else round(0.7 * like(i, 7) - 0.3 * max((like(i, j) for j in want), default=0), 12) for i in range(7)]
+            want.append(value.index(max(value)))
+        assert gold_rules.mmr(texts, about, 4) == want
+
+
 def test_hash_ranks_count_within_a_class(spark):
     rows = spark.range(5000).select("id", F.when(F.col("id") % 10 > 0, "hot").alias("c"))
     found = gold_rules.hash_ranks(rows, "c", F.sha1(F.col("id").cast("string"))).collect()
