@@ -119,6 +119,26 @@ def test_tables_stay_fixed(spark):
     assert chunking.chunk_documents(pages(spark, [prose])).first().strategy == "semantic"
 
 
+def test_windows_of_sentences_are_hashed_once(monkeypatch):
+    r, asked = random.Random(8), []
+    parts = [" ".join(r.choices(["Red", "fox", "ΟΔΟΣ", "İl", "sun", "ß", "\u3000"], k=r.randrange(7))) for _ in range(60)] + ["", " "]
+    want = [chunking.hashed_embedding(" ".join(parts[max(0, i - 1) : i + 2])) for i in range(len(parts))]
+    assert np.array_equal(chunking._hashed_windows(parts, 1), np.array(want))
+    assert chunking.semantic_groups(parts) == chunking.semantic_groups(parts, lambda t: chunking.hashed_embedding(t))
+    monkeypatch.setattr(chunking, "_word_hash", lambda w: asked.append(w) or 1)
+    chunking.semantic_groups(parts)
+    assert len(asked) == sum(len(p.lower().split()) for p in parts)
+
+
+def test_runs_are_packed_without_frames(spark):
+    long = ". ".join(f"Sentence number {i} has quite a few words in it so that lines are long" for i in range(90))
+    made = chunking.chunk_documents(pages(spark, [long, "a | b\n1 | 2", long]))
+    assert "FlatMapGroups" not in made._jdf.queryExecution().executedPlan().toString()
+    got = sorted(made.collect(), key=lambda c: (c.run_id, c.chunk_seq))
+    assert [c.run_id for c in got] == sorted(c.run_id for c in got) and {c.run_id for c in got} == {0, 1, 2}
+    assert [c.chunk_id for c in got] == [f"d:{i}" for i in range(len(got))] and {c.strategy for c in got} == {"semantic", "fixed_table"}
+
+
 def test_block_spans(spark):
     text = "INTRO\n\nfirst paragraph\nof two lines\n \nsecond  "
     for b in chunking.blocks(pages(spark, [text])).collect():
