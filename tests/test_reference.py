@@ -707,6 +707,24 @@ def test_choice_by_relevance_and_difference():
         assert gold_rules.mmr(texts, about, 4) == want
 
 
+def test_gold_is_made_once_for_all_configurations(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(q):
+        made.add(1)
+        return q
+
+    def no_model(text):
+        raise OSError("no model here")
+
+    engine = Engine(spark, [no_model])
+    engine.build_indexes(spark.createDataFrame([("c", "d", 1, 1, "red fox", 2)], "chunk_id string, doc_id string, page_start int, page_end int, text string, token_len int"))
+    rows = spark.createDataFrame([("q", "red", 1, 1, None, None, ["t"])], "query_id string, query string, page_start int, page_end int, char_start int, char_end int, tags array<string>")
+    out = engine.evaluate(rows.withColumn("query", seen("query")), [RetrievalConfig(engine="lexical"), RetrievalConfig(engine="lexical", top_k=3)])
+    assert [r.pre_hit_at_k for r in out["aggregates"].collect()] == [1.0, 1.0] and made.value == 1
+
+
 def test_hash_ranks_count_within_a_class(spark):
     rows = spark.range(5000).select("id", F.when(F.col("id") % 10 > 0, "hot").alias("c"))
     found = gold_rules.hash_ranks(rows, "c", F.sha1(F.col("id").cast("string"))).collect()
